@@ -38,7 +38,8 @@ def combine_one_row(*frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in cols])
 
 
-def count_not_in(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
+def count_not_in(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
+                 weight: str | None = None) -> DataFrame:
     """Rows of ``fact`` whose key is ``NOT IN (SELECT dim_key FROM dim)``,
     with SQL's three-valued semantics, as a one-row count.
 
@@ -48,15 +49,17 @@ def count_not_in(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -
       * a NULL fact key never qualifies (comparison is unknown);
       * if the dim holds a NULL key, no row qualifies;
       * if the dim is empty, every row qualifies (incl. NULL keys).
+    ``weight`` names a row-count column when ``fact`` is pre-aggregated.
     """
     d = dim.select(F.col(dim_key).alias("_k"))
     guards = d.agg(F.count(F.lit(1)).alias("_dim_n"),
                    F.count_if(F.col("_k").isNull()).alias("_dim_nulls"))
-    f = fact.select(F.col(fact_key).alias("_k"))
+    w = F.col(weight) if weight else F.lit(1).cast("long")
+    f = fact.select(F.col(fact_key).alias("_k"), w.alias("_w"))
     anti = (f.filter(F.col("_k").isNotNull())
             .join(d.filter(F.col("_k").isNotNull()), "_k", "left_anti")
-            .agg(F.count(F.lit(1)).alias("_n_anti")))
-    total = f.agg(F.count(F.lit(1)).alias("_n_all"))
+            .agg(F.coalesce(F.sum("_w"), F.lit(0).cast("long")).alias("_n_anti")))
+    total = f.agg(F.coalesce(F.sum("_w"), F.lit(0).cast("long")).alias("_n_all"))
     return (combine_one_row(anti, guards, total)
             .select(F.when(F.col("_dim_n") == 0, F.col("_n_all"))
                     .when(F.col("_dim_nulls") > 0, F.lit(0).cast("long"))

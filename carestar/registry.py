@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from carestar.plans import brand, star as star_plans
+from carestar.plans import brand, conditions, profile, quality, star as star_plans
 from carestar.sources.tables import Star
 
 
@@ -52,12 +52,34 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "drug_class_revenue": brand.drug_class_revenue,
     "drug_class_fills": brand.drug_class_fills,
     "payer_coverage_by_brand": brand.payer_coverage_by_brand,
+    # profile (L1-L5)
+    "table_row_counts": profile.table_row_counts,
+    "cost_distribution": profile.cost_distribution,
+    "activity_date_range": profile.activity_date_range,
+    "demographics": profile.demographics,
+    "payer_coverage_profile": profile.payer_coverage_profile,
+    # quality (L19-L23)
+    "orphan_checks": quality.orphan_checks,
+    "dim_null_keys": quality.dim_null_keys,
+    "overpayment_violations": quality.overpayment_violations,
+    "null_rates": quality.null_rates,
+    "duplicate_encounters": quality.duplicate_encounters,
+    "duplicate_fill_encounters": quality.duplicate_fill_encounters,
+    "nonpositive_cost_by_class": quality.nonpositive_cost_by_class,
+    # conditions
+    "condition_cost_rollup": conditions.condition_cost_rollup,
+    "condition_leaderboard": conditions.condition_leaderboard,
+    "condition_patients": conditions.condition_patients,
+    "condition_encounter_cost": conditions.condition_encounter_cost,
+    "condition_encounter_cost_summary": conditions.condition_encounter_cost_summary,
+    "condition_drug_cost": conditions.condition_drug_cost,
+    "code_prefix_distribution": conditions.code_prefix_distribution,
 }
 
 
 def oracle() -> dict[str, str]:
-    from carestar.oracle import brand as obrand, star as ostar
+    from carestar.oracle import brand as obrand, quality as oquality, star as ostar
     out: dict[str, str] = {}
-    for mod in (ostar, obrand):
+    for mod in (ostar, obrand, oquality):
         out.update(mod.SQL)
     return {k: v for k, v in out.items() if k in JOBS}
