@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from carestar.plans import brand, conditions, profile, quality, star as star_plans
+from carestar.plans import bi, brand, conditions, profile, quality, star as star_plans
 from carestar.sources.tables import Star
 
 
@@ -74,12 +74,39 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "condition_encounter_cost_summary": conditions.condition_encounter_cost_summary,
     "condition_drug_cost": conditions.condition_drug_cost,
     "code_prefix_distribution": conditions.code_prefix_distribution,
+    # BI tables and exports
+    "bi_encounter": bi.bi_encounter,
+    "bi_medication": bi.bi_medication,
+    "export_medication_facts": bi.export_medication_facts,
+    "export_encounter_facts": bi.export_encounter_facts,
+    "export_condition_bridge": bi.export_condition_bridge,
 }
 
+# Jobs that write files and return what they read back: (spark, sf_dir, star).
+SINK_JOBS: dict[str, Callable] = {}
+
+
+def _export_bi_parquet(spark, sf_dir, s: Star) -> DataFrame:
+    """L26 round trip: Parquet export of the encounter BI table, read back."""
+    from carestar.sources.warehouse import work_dir
+    paths = bi.export_bi(s, work_dir(spark, sf_dir, "exports"), formats=("parquet",))
+    return bi.read_bi_parquet(spark, paths["bi_encounter.parquet"], bi.bi_encounter(s))
+
+
+def _export_bi_csv(spark, sf_dir, s: Star) -> DataFrame:
+    """L26 round trip: CSV export of the medication BI table, read back."""
+    from carestar.sources.warehouse import work_dir
+    paths = bi.export_bi(s, work_dir(spark, sf_dir, "exports_csv"), formats=("csv",))
+    return bi.read_bi_csv(spark, paths["bi_medication.csv"], bi.bi_medication(s))
+
+
+SINK_JOBS["export_bi_parquet"] = _export_bi_parquet
+SINK_JOBS["export_bi_csv"] = _export_bi_csv
+
 
 def oracle() -> dict[str, str]:
-    from carestar.oracle import brand as obrand, quality as oquality, star as ostar
+    from carestar.oracle import bi as obi, brand as obrand, quality as oquality, star as ostar
     out: dict[str, str] = {}
-    for mod in (ostar, obrand, oquality):
+    for mod in (ostar, obrand, oquality, obi):
         out.update(mod.SQL)
-    return {k: v for k, v in out.items() if k in JOBS}
+    return {k: v for k, v in out.items() if k in JOBS or k in SINK_JOBS}

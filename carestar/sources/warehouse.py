@@ -105,5 +105,11 @@ def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star
         return star
 
 
+def work_dir(spark: SparkSession, sf_dir: str, *parts: str) -> str:
+    """A folder for job outputs (exports, documents) next to the star."""
+    return posixpath.join(ensure_checkpoint_dir(spark), "carestar",
+                          spark.sparkContext.applicationId, _fingerprint(sf_dir), *parts)
+
+
 def raw_for(spark: SparkSession, sf_dir: str) -> RawTables:
     return star_for(spark, sf_dir).raw
