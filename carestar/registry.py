@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from carestar.plans import bi, brand, conditions, profile, quality, star as star_plans
+from carestar.plans import (bi, brand, conditions, dashboard, filters, profile, quality,
+                            star as star_plans)
 from carestar.sources.tables import Star
 
 
@@ -80,6 +81,24 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "export_medication_facts": bi.export_medication_facts,
     "export_encounter_facts": bi.export_encounter_facts,
     "export_condition_bridge": bi.export_condition_bridge,
+    # dashboard
+    "kpi_cards": dashboard.kpi_cards,
+    "specialty_volume": dashboard.specialty_volume,
+    "state_distribution": dashboard.state_distribution,
+    "age_band_distribution": dashboard.age_band_distribution,
+    "monthly_trend": dashboard.monthly_trend,
+    "dashboard_document": dashboard.dashboard_document,
+    "slicer_domains": dashboard.slicer_domains,
+    "frequent_drug_classes": dashboard.frequent_drug_classes,
+    "search_domains": dashboard.search_domains,
+    "payer_covered_vs_uncovered": dashboard.payer_covered_vs_uncovered,
+    "patient_distribution": dashboard.patient_distribution,
+    "provider_geography": dashboard.provider_geography,
+    # slicers and cohorts
+    "sliced_totals": filters.sliced_totals,
+    "drug_search": filters.drug_search,
+    "condition_cohort_fills": filters.condition_cohort_fills,
+    "leaderboard_sliced": filters.leaderboard_sliced,
 }
 
 # Jobs that write files and return what they read back: (spark, sf_dir, star).
@@ -105,8 +124,9 @@ SINK_JOBS["export_bi_csv"] = _export_bi_csv
 
 
 def oracle() -> dict[str, str]:
-    from carestar.oracle import bi as obi, brand as obrand, quality as oquality, star as ostar
+    from carestar.oracle import (bi as obi, brand as obrand, dashboard as odash,
+                                 quality as oquality, star as ostar)
     out: dict[str, str] = {}
-    for mod in (ostar, obrand, oquality, obi):
+    for mod in (ostar, obrand, oquality, obi, odash):
         out.update(mod.SQL)
     return {k: v for k, v in out.items() if k in JOBS or k in SINK_JOBS}
