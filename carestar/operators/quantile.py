@@ -49,6 +49,8 @@ def exact_median_scaled(df: DataFrame, value: Column | str, scale: int = 100) ->
     return picked.select(((F.col("v1") + F.col("v2")) / F.lit(2.0)).alias("median"))
 
 
-def round_half_up_scaled(m: Column, scale: int = 100) -> Column:
-    """Round a median in 1/scale units half-up to an integer, back to units."""
-    return (F.floor(m + F.lit(0.5)).cast("decimal(38,0)") / F.lit(scale)).cast("double")
+def round_scaled(m: Column, scale: int, places: int = 2) -> Column:
+    """A median in 1/scale units (an integer or .5, exact in a double) as a
+    value rounded half-up to ``places``; the division runs in decimal."""
+    return F.round(m.cast("decimal(38,1)") / F.lit(scale).cast("decimal(20,0)"),
+                   places).cast("double")

@@ -12,7 +12,7 @@ def selection_filter(selection: dict[str, list] | None) -> Column:
     """OR inside a dimension, AND across dimensions; a dimension with an
     empty selection (or no selection at all) does not filter."""
     conds = [F.col(dim).isin(list(values)) for dim, values in (selection or {}).items() if values]
-    return reduce(lambda a, b: a & b, conds, F.lit(True))
+    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
 def apply_slicers(df: DataFrame, selection: dict[str, list] | None) -> DataFrame:

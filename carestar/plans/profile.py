@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carestar.functions.expr import avg_money, out_money, pct, round_money
 from carestar.operators.counts import row_counts
 from carestar.operators.joins import combine_one_row
-from carestar.operators.quantile import exact_median_scaled, round_half_up_scaled
+from carestar.operators.quantile import exact_median_scaled, round_scaled
 from carestar.operators.topk import top_k
 from carestar.sources.tables import RawTables, Star
 
@@ -27,11 +27,12 @@ def cost_distribution(src) -> DataFrame:
     e = _raw(src).encounters.select(F.col("BASE_ENCOUNTER_COST").alias("c")).filter(F.col("c") > 0)
     stats = e.agg(F.min("c").alias("_min"), F.max("c").alias("_max"), F.sum("c").alias("_sum"),
                   F.count(F.lit(1)).alias("_n"))
-    med = exact_median_scaled(e, "c", 100).select(F.col("median").alias("_med"))
+    # Raw money keeps four places: the median is taken on 1/10000 units.
+    med = exact_median_scaled(e, "c", 10000).select(F.col("median").alias("_med"))
     return combine_one_row(stats, med).select(
         out_money("_min").alias("min_cost"),
         avg_money("_sum", "_n").alias("avg_cost"),
-        round_half_up_scaled(F.col("_med"), 100).alias("median_cost"),
+        round_scaled(F.col("_med"), 10000, 2).alias("median_cost"),
         out_money("_max").alias("max_cost"),
         round_money("_sum").alias("total_cost"))
 

@@ -130,3 +130,16 @@ def oracle() -> dict[str, str]:
     for mod in (ostar, obrand, oquality, obi, odash):
         out.update(mod.SQL)
     return {k: v for k, v in out.items() if k in JOBS or k in SINK_JOBS}
+
+
+def _ingest_roundtrip(spark, sf_dir, s: Star) -> DataFrame:
+    """L0 round trip: the raw tables written in the claims CSV layout, then
+    ingested back with explicit schemas; row count per table."""
+    from carestar.sources.ingest import export_raw_csv, ingest_raw
+    from carestar.sources.warehouse import work_dir
+    csv_dir = work_dir(spark, sf_dir, "csv")
+    export_raw_csv(s.raw, csv_dir)
+    return ingest_raw(spark, csv_dir, work_dir(spark, sf_dir, "ingested"))
+
+
+SINK_JOBS["ingest_roundtrip"] = _ingest_roundtrip
