@@ -108,6 +108,9 @@ def fact_encounter(raw: RawTables) -> DataFrame:
     e = raw.encounters
     start = F.col("START").cast("timestamp_ntz")
     total, cov = F.col("TOTAL_CLAIM_COST"), F.col("PAYER_COVERAGE")
+    # Written raw encounters carry year(START) as their partition column;
+    # using it keeps year filters on the fact partition-pruning.
+    year = F.col("start_year") if "start_year" in e.columns else F.year(start)
     return e.select(
         F.col("Id").alias("encounter_key"), F.col("PATIENT").alias("patient_key"),
         F.col("PROVIDER").alias("provider_key"), F.col("PAYER").alias("payer_key"),
@@ -115,7 +118,7 @@ def fact_encounter(raw: RawTables) -> DataFrame:
         F.col("ENCOUNTERCLASS").alias("encounter_class"), F.col("CODE").alias("encounter_code"),
         F.col("DESCRIPTION").alias("encounter_description"),
         start.cast("date").alias("encounter_date"), date_key(start).alias("date_key"),
-        F.year(start).alias("year"), F.month(start).alias("month_num"),
+        year.alias("year"), F.month(start).alias("month_num"),
         money("BASE_ENCOUNTER_COST").alias("base_cost"),
         money(total).alias("total_claim_cost"), money(cov).alias("payer_coverage"),
         money(total - cov).alias("patient_responsibility"),

@@ -22,10 +22,7 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
 
 def _star_table(name: str) -> Callable[[Star], DataFrame]:
     def job(s: Star) -> DataFrame:
-        df = s.get(name)
-        if name == "fact_medication" and "fill_year" in df.columns:
-            df = df.drop("fill_year")
-        return decimals_to_double(df)
+        return decimals_to_double(s.get(name))
     job.__name__ = name
     return job
 

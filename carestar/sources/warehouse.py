@@ -22,8 +22,13 @@ from carestar.session import apply_job_conf, ensure_checkpoint_dir
 from carestar.sources import testdata
 from carestar.sources.tables import RAW_NAMES, RawTables, Star
 
-# Facts are partitioned by year so that year filters prune files.
-PARTITION_COLS = {"fact_encounter": "year", "fact_medication": "fill_year"}
+# Raw fact tables are partitioned by the year of START, so year filters on
+# the facts (which are projections of them) prune files.
+RAW_PARTITIONED = {"encounters": "START", "medications": "START"}
+YEAR_COL = "start_year"
+# Star tables that need joins, aggregates or a scan for their bounds are
+# written; the others are projections of one raw table and stay views.
+WRITTEN_DIMS = ["dim_provider", "dim_payer", "dim_date", "dim_diagnosis"]
 DIMENSIONS = ["dim_patient", "dim_provider", "dim_payer", "dim_date", "dim_diagnosis"]
 
 _LOCK = threading.Lock()
@@ -37,38 +42,40 @@ def _write(df: DataFrame, path: str, partition_col: str | None = None) -> None:
     w.parquet(path)
 
 
-def write_raw(raw: RawTables, root: str) -> RawTables:
+def write_raw(raw: RawTables, root: str) -> tuple[RawTables, dict[str, int]]:
+    """Write every raw table once; return them read back and their row counts
+    (global counts, answered from Parquet footers)."""
     spark = raw.patients.sparkSession
-    out = {}
-    for name in RAW_NAMES:
+    out, rows = {}, {}
+    for name in RAW_NAMES + list(raw.counted):
+        df = raw.get(name)
         p = posixpath.join(root, "raw", name)
-        _write(raw.get(name), p)
-        out[name] = spark.read.parquet(p)
-    counted = {}
-    for name, df in raw.counted.items():
-        p = posixpath.join(root, "raw", name)
-        _write(df, p)
-        counted[name] = spark.read.parquet(p)
-    return RawTables(counted=counted, profile=raw.profile, **out)
+        ts = RAW_PARTITIONED.get(name)
+        if ts:
+            _write(df.withColumn(YEAR_COL, F.year(ts)), p, YEAR_COL)
+            back = spark.read.parquet(p).select(*df.columns, YEAR_COL)
+        else:
+            _write(df, p)
+            back = spark.read.parquet(p).select(*df.columns)
+        out[name] = back
+        rows[name] = back.count()
+    counted = {n: out.pop(n) for n in list(raw.counted)}
+    return RawTables(counted=counted, profile=raw.profile, **out), rows
 
 
-def write_star(star: Star, root: str) -> Star:
+def write_star(star: Star, root: str, raw_rows: dict[str, int] | None = None) -> Star:
+    """Write the dimensions that are not plain projections; keep the facts
+    and the patient dimension as views over the written raw tables."""
     spark = star.fact_medication.sparkSession
-    tables = {}
+    tables = {n: star.get(n) for n in DIMENSIONS + ["fact_encounter", "fact_medication"]}
     rows = {}
-    for name in DIMENSIONS + ["fact_encounter", "fact_medication"]:
+    for name in WRITTEN_DIMS:
         p = posixpath.join(root, "star", name)
-        df = star.get(name)
-        if name == "fact_medication":
-            df = df.withColumn("fill_year", F.year("fill_date"))
-        _write(df, p, PARTITION_COLS.get(name))
-        # Keep the job-facing column order; the partition column of fills
-        # stays available for pruning.
-        extra = ["fill_year"] if name == "fact_medication" else []
-        back = spark.read.parquet(p).select(*star.get(name).columns, *extra)
-        tables[name] = back
-        if name in DIMENSIONS:
-            rows[name] = back.count()  # from Parquet footers
+        _write(star.get(name), p)
+        tables[name] = spark.read.parquet(p).select(*star.get(name).columns)
+        rows[name] = tables[name].count()
+    if raw_rows:
+        rows["dim_patient"] = raw_rows["patients"]
     return Star(raw=star.raw, dim_rows=rows, **tables)
 
 
@@ -97,8 +104,8 @@ def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star
         if materialize:
             root = posixpath.join(ensure_checkpoint_dir(spark), "carestar",
                                   spark.sparkContext.applicationId, _fingerprint(sf_dir))
-            raw = write_raw(raw, root)
-            star = write_star(build_star(raw), root)
+            raw, raw_rows = write_raw(raw, root)
+            star = write_star(build_star(raw), root, raw_rows)
         else:
             star = build_star(raw)
         _CACHE[key] = star
