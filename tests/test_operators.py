@@ -40,7 +40,7 @@ def test_count_not_in_equals_sql_not_in(spark, fact, dim):
 
 
 @pytest.mark.parametrize("n,spread", [(1, 10), (2, 10), (7, 3), (1000, 50), (2001, 10**7),
-                                      (4000, 300000)])
+                                      (4000, 300000), (999, 10**15), (1500, 2**40)])
 def test_exact_median_matches_numpy(spark, n, spread):
     rng = random.Random(n)
     vals = [rng.randint(-spread, spread) for _ in range(n)]
