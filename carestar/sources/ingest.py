@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from carestar.operators.counts import row_counts
 from carestar.sources import schemas
+from carestar.sources.concurrent import run_concurrently
 from carestar.sources.tables import RAW_NAMES, RawTables
 
 CORRUPT = "_corrupt_record"
@@ -42,18 +43,19 @@ def ingest_raw(spark: SparkSession, csv_dir: str, out_dir: str,
     ``extra`` maps more table names to CSV paths (e.g. the CDC overdose
     file), read with every column as text."""
 
-    written: dict[str, DataFrame] = {}
     tables = [(n, posixpath.join(csv_dir, f"{n}.csv"), schemas.CLAIMS[n]) for n in RAW_NAMES]
     tables += [(n, posixpath.join(csv_dir, f"{n}.csv"), None) for n in schemas.COUNTED_ONLY]
     tables += [(n, p, None) for n, p in (extra or {}).items()]
-    for name, path, schema in tables:
-        if not _exists(spark, path):
-            continue
-        df = read_claims_csv(spark, path, schema)
+    present = [t for t in tables if _exists(spark, t[1])]
+
+    def one(t):
+        name, path, schema = t
         target = posixpath.join(out_dir, name)
-        df.write.mode("overwrite").parquet(target)
-        written[name] = spark.read.parquet(target)
-    return row_counts(written, "table_name", "row_count")
+        read_claims_csv(spark, path, schema).write.mode("overwrite").parquet(target)
+        return spark.read.parquet(target)
+
+    done = run_concurrently(one, present)
+    return row_counts({t[0]: df for t, df in done.items()}, "table_name", "row_count")
 
 
 def load_raw(spark: SparkSession, parquet_dir: str, profile=None) -> RawTables:
@@ -86,7 +88,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def export_raw_csv(raw: RawTables, csv_dir: str) -> None:
     """Write raw tables in the claims CSV layout (schema columns, missing
     ones empty): the inverse of ``ingest_raw``, used for round trips."""
-    for name in RAW_NAMES:
+    def one(name):
         schema = schemas.CLAIMS[name]
         df = raw.get(name)
         cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
@@ -94,3 +96,5 @@ def export_raw_csv(raw: RawTables, csv_dir: str) -> None:
         (df.select(*cols).write.mode("overwrite").option("header", True)
          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
          .option("dateFormat", "yyyy-MM-dd").csv(posixpath.join(csv_dir, f"{name}.csv")))
+
+    run_concurrently(one, RAW_NAMES)

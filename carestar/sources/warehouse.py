@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.session import apply_job_conf, ensure_checkpoint_dir
+from carestar.sources.concurrent import run_concurrently
 from carestar.sources import testdata
 from carestar.sources.tables import RAW_NAMES, RawTables, Star
 
@@ -46,8 +47,8 @@ def write_raw(raw: RawTables, root: str) -> tuple[RawTables, dict[str, int]]:
     """Write every raw table once; return them read back and their row counts
     (global counts, answered from Parquet footers)."""
     spark = raw.patients.sparkSession
-    out, rows = {}, {}
-    for name in RAW_NAMES + list(raw.counted):
+
+    def one(name):
         df = raw.get(name)
         p = posixpath.join(root, "raw", name)
         ts = RAW_PARTITIONED.get(name)
@@ -57,8 +58,11 @@ def write_raw(raw: RawTables, root: str) -> tuple[RawTables, dict[str, int]]:
         else:
             _write(df, p)
             back = spark.read.parquet(p).select(*df.columns)
-        out[name] = back
-        rows[name] = back.count()
+        return back, back.count()
+
+    done = run_concurrently(one, RAW_NAMES + list(raw.counted))
+    out = {n: done[n][0] for n in done}
+    rows = {n: done[n][1] for n in done}
     counted = {n: out.pop(n) for n in list(raw.counted)}
     return RawTables(counted=counted, profile=raw.profile, **out), rows
 
@@ -68,12 +72,15 @@ def write_star(star: Star, root: str, raw_rows: dict[str, int] | None = None) ->
     and the patient dimension as views over the written raw tables."""
     spark = star.fact_medication.sparkSession
     tables = {n: star.get(n) for n in DIMENSIONS + ["fact_encounter", "fact_medication"]}
-    rows = {}
-    for name in WRITTEN_DIMS:
+    def one(name):
         p = posixpath.join(root, "star", name)
         _write(star.get(name), p)
-        tables[name] = spark.read.parquet(p).select(*star.get(name).columns)
-        rows[name] = tables[name].count()
+        back = spark.read.parquet(p).select(*star.get(name).columns)
+        return back, back.count()
+
+    done = run_concurrently(one, WRITTEN_DIMS)
+    rows = {n: done[n][1] for n in WRITTEN_DIMS}
+    tables.update({n: done[n][0] for n in WRITTEN_DIMS})
     if raw_rows:
         rows["dim_patient"] = raw_rows["patients"]
     return Star(raw=star.raw, dim_rows=rows, **tables)
@@ -91,6 +98,15 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
+def build(spark: SparkSession, sf_dir: str, root: str) -> Star:
+    """Map the test tables, write the raw tables and the derived dimensions
+    under ``root`` and return the star over them."""
+    from carestar.plans.star import build_star
+
+    raw, raw_rows = write_raw(testdata.load(spark, sf_dir), root)
+    return write_star(build_star(raw), root, raw_rows)
+
+
 def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star:
     """The star over the test tables in ``sf_dir``, written once per session."""
     from carestar.plans.star import build_star
@@ -100,14 +116,12 @@ def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]
-        raw = testdata.load(spark, sf_dir)
         if materialize:
             root = posixpath.join(ensure_checkpoint_dir(spark), "carestar",
                                   spark.sparkContext.applicationId, _fingerprint(sf_dir))
-            raw, raw_rows = write_raw(raw, root)
-            star = write_star(build_star(raw), root, raw_rows)
+            star = build(spark, sf_dir, root)
         else:
-            star = build_star(raw)
+            star = build_star(testdata.load(spark, sf_dir))
         _CACHE[key] = star
         return star
 
