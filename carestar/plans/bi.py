@@ -68,6 +68,18 @@ def bi_medication(star: Star) -> DataFrame:
         "age_band", "patient_gender", "patient_state", "payer_name", "payer_coverage_pct")
 
 
+def register_views(star: Star) -> list[str]:
+    """The star tables and both BI tables as temporary views, so SQL
+    users query the same plans (``spark.sql("SELECT ... FROM v_bi_encounter")``)."""
+    views = {n: star.get(n) for n in ["dim_patient", "dim_provider", "dim_payer", "dim_date",
+                                      "dim_diagnosis", "fact_encounter", "fact_medication"]}
+    views["v_bi_encounter"] = bi_encounter(star)
+    views["v_bi_medication"] = bi_medication(star)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
 def export_bi(star: Star, root: str, formats=("parquet", "csv")) -> dict[str, str]:
     """Materialize both BI tables as Parquet and/or CSV under ``root``.
 

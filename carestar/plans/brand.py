@@ -44,9 +44,13 @@ def top_drugs_by_revenue(star: Star, k: int = 10) -> DataFrame:
     return top_k(out, k, "-_rev", "drug").drop("_rev")
 
 
-def monthly_brand_trend(star: Star, k: int = 5, frame: int = 3) -> DataFrame:
+def monthly_brand_trend(star: Star, k: int = 5, frame: int = 3,
+                        calendar: bool = False) -> DataFrame:
     """Monthly fills and revenue of the top-k drugs with a moving
-    average of revenue over the current and ``frame - 1`` preceding rows.
+    average of revenue over the current and ``frame - 1`` preceding rows
+    (the reference's frame: months without fills are skipped, Q7), or with
+    ``calendar=True`` over the current and ``frame - 1`` preceding calendar
+    months (months without fills simply add nothing).
 
     Monthly sums come first (one row per drug and month), the top-k key set
     is broadcast as a semi join, and the window then runs over a few dozen
@@ -59,14 +63,23 @@ def monthly_brand_trend(star: Star, k: int = 5, frame: int = 3) -> DataFrame:
     per_drug = monthly.groupBy("drug_description").agg(F.sum("_rev").alias("_tot"))
     keys = top_keys(per_drug, "drug_description", k, "-_tot", "drug_description")
     top = monthly.join(keys, "drug_description", "left_semi")
-    w = (Window.partitionBy("drug_description").orderBy("yr", "mo")
-         .rowsBetween(-(frame - 1), Window.currentRow))
+    if calendar:
+        w = (Window.partitionBy("drug_description").orderBy(F.col("yr") * 12 + F.col("mo"))
+             .rangeBetween(-(frame - 1), Window.currentRow))
+    else:
+        w = (Window.partitionBy("drug_description").orderBy("yr", "mo")
+             .rowsBetween(-(frame - 1), Window.currentRow))
     mov = F.round(F.sum("_rev").over(w) / F.count(F.lit(1)).over(w).cast("decimal(20,0)"), 2)
     return top.select("drug_description", "yr", "mo", "fill_count",
                       round_money("_rev").alias("monthly_revenue"),
                       mov.cast("double").alias("moving_avg_3mo_revenue"))
 
 
+def monthly_brand_trend_calendar(star: Star, k: int = 5, frame: int = 3) -> DataFrame:
+    """L16 with a calendar-month frame (Q7 option)."""
+    return monthly_brand_trend(star, k, frame, calendar=True)
+
+
 def _with_payer(fills: DataFrame, star: Star) -> DataFrame:
     dp = maybe_broadcast(star.dim_payer.select("payer_key", "payer_name"),
                          star.dim_rows.get("dim_payer"))

@@ -41,6 +41,7 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "brand_leaderboard": brand.brand_leaderboard,
     "top_drugs_by_revenue": brand.top_drugs_by_revenue,
     "monthly_brand_trend": brand.monthly_brand_trend,
+    "monthly_brand_trend_calendar": brand.monthly_brand_trend_calendar,
     "payer_coverage_rate": brand.payer_coverage_rate,
     "payer_mix": brand.payer_mix,
     "adherence": brand.adherence,

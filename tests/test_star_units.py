@@ -141,3 +141,21 @@ def test_dashboard_document_is_json(star):
     assert [t["drug"] for t in doc["top_drugs"]][0] == "Simvastatin 10 MG Oral Tablet"
     assert {"payer_mix", "specialties", "states", "age_bands", "trend", "ta_patients",
             "ta_enc_cost", "icd10", "drug_class", "adherence"} <= set(doc)
+
+
+def test_register_views_for_sql(spark, star):
+    from carestar.plans.bi import register_views
+    names = register_views(star)
+    assert "v_bi_encounter" in names
+    n = spark.sql("SELECT count(*) AS n FROM v_bi_encounter WHERE age_band IS NOT NULL").first().n
+    assert n == 4  # E4: orphan patient; E3: patient without birth date
+
+
+def test_calendar_frame_differs_from_rows_frame(star):
+    rows = {(r.drug_description, r.yr, r.mo): r.moving_avg_3mo_revenue
+            for r in brand.monthly_brand_trend(star).collect()}
+    cal = {(r.drug_description, r.yr, r.mo): r.moving_avg_3mo_revenue
+           for r in brand.monthly_brand_trend(star, calendar=True).collect()}
+    key = ("Simvastatin 10 MG Oral Tablet", 2020, 4)
+    assert rows[key] == 50.01  # previous row (Jan) is inside a 3-row frame
+    assert cal[key] == 0.01    # Jan is outside Feb..Apr
