@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carestar.functions.expr import first_word, pct, round_money
+from carestar.functions.expr import first_word, pct, ratio_pct, round_money
 from carestar.operators.joins import combine_one_row, maybe_broadcast
 from carestar.operators.topk import top_k
 from carestar.plans import brand, conditions
@@ -71,24 +71,68 @@ def monthly_trend(star: Star) -> DataFrame:
     return agg.select("year", "month", "fills", round_money("_rev", 0).alias("revenue"))
 
 
-def _section(df: DataFrame, name: str, order: list[Column], fields: list[str]) -> DataFrame:
-    """A bounded frame (top-k or a small domain) as one array<struct> column,
-    in a deterministic order."""
-    ranked = df.withColumn("_pos", F.row_number().over(Window.partitionBy().orderBy(*order)))
-    arr = F.array_sort(F.collect_list(F.struct("_pos", *fields)))
-    return ranked.agg(F.transform(arr, lambda s: s.dropFields("_pos")).alias(name))
+def _section(df: DataFrame, name: str, order: list[tuple[str, bool]],
+             fields: list[str]) -> DataFrame:
+    """A bounded frame (top-k or a small domain) as one array<struct> column
+    in a deterministic order: each struct carries its sort keys first
+    (descending keys negated), ``array_sort`` orders them, and the keys are
+    dropped again.  One global aggregate, no window."""
+    keys = [(-F.col(c) if desc else F.col(c)).alias(f"_k{i}") for i, (c, desc) in enumerate(order)]
+    arr = F.array_sort(F.collect_list(F.struct(*keys, *fields)))
+    drop = [f"_k{i}" for i in range(len(order))]
+    return df.agg(F.transform(arr, lambda s: s.dropFields(*drop)).alias(name))
+
+
+def _drug_stats(star: Star) -> DataFrame:
+    """One aggregate of the fills per drug that several sections share: the
+    same subplan appears once per section and Spark reuses its shuffle."""
+    tc = F.col("total_cost")
+    return (star.fact_medication.groupBy("drug_description")
+            .agg(F.count(F.lit(1)).alias("fills_all"),
+                 F.sum("is_completed").alias("completed"),
+                 F.count_if(tc > 0).alias("fills_pos"),
+                 F.sum(F.when(tc > 0, tc)).alias("rev_pos"),
+                 F.sum(tc).alias("rev_all")))
 
 
 def dashboard_document(star: Star) -> DataFrame:
     """The dashboard's data document (v1 and v2 sections in one object),
     one row with one JSON column.  Every section is built from an already
-    limited frame, so each ``collect_list`` holds at most k rows."""
-    asc, desc = (lambda c: F.col(c).asc_nulls_last()), (lambda c: F.col(c).desc_nulls_last())
-    kpis = kpi_cards(star).select(F.struct("*").alias("kpis"))
+    limited frame, so each ``collect_list`` holds at most k rows.  The
+    drug-level sections (top drugs, classes, adherence, KPI totals) derive
+    from one per-drug aggregate; each equals its standalone job (tested)."""
+    asc, desc = (lambda c: (c, False)), (lambda c: (c, True))
+    ds = _drug_stats(star)
+    pos = ds.filter(F.col("fills_pos") > 0)
+    top_drugs = top_k(pos.select(F.col("drug_description").alias("drug"),
+                                 F.col("fills_pos").alias("fills"),
+                                 round_money("rev_pos", 0).alias("revenue"), "rev_pos"),
+                      10, "-rev_pos", "drug").drop("rev_pos")
+    classes = (pos.groupBy(first_word("drug_description").alias("class"))
+               .agg(F.sum("fills_pos").alias("fills"), F.sum("rev_pos").alias("_rev")))
+    drug_class = top_k(classes.select("class", "fills", round_money("_rev", 0).alias("revenue"),
+                                      "_rev"), 15, "-_rev", "class").drop("_rev")
+    adherence = top_k(ds.filter(F.col("fills_all") >= 100)
+                      .select(F.col("drug_description").alias("drug"),
+                              F.col("fills_all").alias("fills"),
+                              ratio_pct("completed", "fills_all").alias("adherence_pct")),
+                      10, "-adherence_pct", "drug")
+    kpis = combine_one_row(
+        _count(star.raw.patients, "total_patients"),
+        _count(star.raw.encounters, "total_encounters"),
+        ds.agg(F.sum("fills_all").alias("total_prescriptions"),
+               round_money(F.sum("rev_all"), 0).alias("total_revenue"),
+               F.count("drug_description").alias("unique_drugs")),
+        _count(star.dim_provider, "total_providers"),
+        _count(star.raw.organizations, "total_orgs"),
+        _count(star.dim_payer, "total_payers"),
+    ).select(F.struct("total_patients", "total_encounters", "total_prescriptions",
+                      "total_revenue", "unique_drugs", "total_providers", "total_orgs",
+                      "total_payers").alias("kpis"))
     sections = [
         kpis,
-        _section(brand.top_drugs_by_revenue(star), "top_drugs",
-                 [desc("revenue"), asc("drug")], ["drug", "fills", "revenue"]),
+        _section(top_drugs, "top_drugs", [desc("revenue"), asc("drug")],
+                 ["drug", "fills", "revenue"]),
         _section(brand.payer_mix(star), "payer_mix", [desc("cost"), asc("payer")],
                  ["payer", "patients", "fills", "cost", "cov_pct"]),
         _section(specialty_volume(star), "specialties", [desc("encounters"), asc("specialty")],
@@ -109,9 +153,9 @@ def dashboard_document(star: Star) -> DataFrame:
                          F.col("patient_count").alias("patients"),
                          F.col("distinct_conditions").alias("conditions")), "icd10",
                  [desc("patients"), asc("chapter")], ["chapter", "patients", "conditions"]),
-        _section(brand.drug_class_fills(star), "drug_class", [desc("revenue"), asc("class")],
+        _section(drug_class, "drug_class", [desc("revenue"), asc("class")],
                  ["class", "fills", "revenue"]),
-        _section(brand.adherence_top(star), "adherence", [desc("adherence_pct"), asc("drug")],
+        _section(adherence, "adherence", [desc("adherence_pct"), asc("drug")],
                  ["drug", "fills", "adherence_pct"]),
     ]
     doc = combine_one_row(*sections)
