@@ -10,7 +10,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None
     """Overwrite a Parquet table (idempotent re-runs, Q1b)."""
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        # rebalance: partition-clustered files of a reasonable size (AQE splits hot values)
+        w = df.hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols)
     w.parquet(path)
 
 

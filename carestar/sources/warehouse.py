@@ -39,7 +39,12 @@ _CACHE: dict[tuple, Star] = {}
 def _write(df: DataFrame, path: str, partition_col: str | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_col:
-        w = w.partitionBy(partition_col)
+        # Cluster rows by the partition column before writing: without it
+        # every write task emits one file per year it holds (tasks x years
+        # small files).  REBALANCE lets AQE split a hot year over several
+        # tasks and coalesce small ones, so files come out near the
+        # advisory partition size.
+        w = df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col)
     w.parquet(path)
 
 
