@@ -168,7 +168,7 @@ def dashboard_document(star: Star) -> DataFrame:
 def _domain(name: str, df: DataFrame, col: str, order: list[Column]) -> DataFrame:
     w = Window.partitionBy().orderBy(*order)
     return df.select(F.lit(name).alias("dimension"),
-                     F.row_number().over(w).alias("position"),
+                     F.row_number().over(w).cast("long").alias("position"),
                      F.col(col).cast("string").alias("value"))
 
 
