@@ -25,9 +25,12 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "carestar",
+def build_session(master: str | None = "local[*]", app: str = "carestar",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """``master=None`` keeps the master given by spark-submit (clusters)."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
