@@ -44,23 +44,27 @@ def count_not_in(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
     with SQL's three-valued semantics, as a one-row count.
 
     ``NOT IN`` plans as a null-aware anti join that always broadcasts the
-    subquery side.  Here it is a shuffle-able ``left_anti`` join plus two
-    guards computed by partial aggregates:
+    subquery side.  Here both sides are reduced to their distinct keys (map-
+    side combined), joined once by key (a shuffle join at scale), and folded:
       * a NULL fact key never qualifies (comparison is unknown);
       * if the dim holds a NULL key, no row qualifies;
       * if the dim is empty, every row qualifies (incl. NULL keys).
     ``weight`` names a row-count column when ``fact`` is pre-aggregated.
+    Each side is scanned and shuffled once; the dim's guard counts reuse the
+    dim's shuffle.
     """
-    d = dim.select(F.col(dim_key).alias("_k"))
-    guards = d.agg(F.count(F.lit(1)).alias("_dim_n"),
-                   F.count_if(F.col("_k").isNull()).alias("_dim_nulls"))
     w = F.col(weight) if weight else F.lit(1).cast("long")
     f = fact.select(F.col(fact_key).alias("_k"), w.alias("_w"))
-    anti = (f.filter(F.col("_k").isNotNull())
-            .join(d.filter(F.col("_k").isNotNull()), "_k", "left_anti")
-            .agg(F.coalesce(F.sum("_w"), F.lit(0).cast("long")).alias("_n_anti")))
-    total = f.agg(F.coalesce(F.sum("_w"), F.lit(0).cast("long")).alias("_n_all"))
-    return (combine_one_row(anti, guards, total)
+    dk = dim.groupBy(F.col(dim_key).alias("_k")).agg(F.count(F.lit(1)).alias("_dn"))
+    hits = dk.filter(F.col("_k").isNotNull()).select("_k", F.lit(True).alias("_hit"))
+    per = (f.join(hits, "_k", "left")
+           .agg(F.coalesce(F.sum("_w"), F.lit(0).cast("long")).alias("_n_all"),
+                F.coalesce(F.sum(F.when(F.col("_k").isNotNull() & F.col("_hit").isNull(),
+                                        F.col("_w"))), F.lit(0).cast("long")).alias("_n_anti")))
+    guards = dk.agg(F.coalesce(F.sum("_dn"), F.lit(0).cast("long")).alias("_dim_n"),
+                    F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_dn"))),
+                               F.lit(0).cast("long")).alias("_dim_nulls"))
+    return (combine_one_row(per, guards)
             .select(F.when(F.col("_dim_n") == 0, F.col("_n_all"))
                     .when(F.col("_dim_nulls") > 0, F.lit(0).cast("long"))
                     .otherwise(F.col("_n_anti")).alias("violations")))
