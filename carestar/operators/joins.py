@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we ship to every executor (rows of a narrow projection).
-MAX_BROADCAST_ROWS = 200_000
+# Largest dimension shipped to every executor: rows counted when the table
+# was written, of a narrow projection (a few columns, ~100 bytes a row, so
+# at most ~100 MB).  Payers, dates and providers fit; patients at scale do not
+# and stay shuffle joins (AQE may still broadcast them from measured sizes).
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def maybe_broadcast(df: DataFrame, known_rows: int | None,

@@ -114,3 +114,25 @@ def test_bi_row_count_equals_fact(spark):
     s = star_for(spark, "/root/testdata/sf0.001")
     assert bi_encounter(s).count() == s.fact_encounter.count()
     assert bi_medication(s).count() == s.fact_medication.count()
+
+
+from hypothesis import given, settings, HealthCheck, strategies as st  # noqa: E402
+
+_keys = st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=8)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(fact=_keys, dim=_keys)
+def test_count_not_in_property(spark, fact, dim):
+    """Random key lists with NULLs and duplicates: the guarded join equals NOT IN."""
+    f = spark.createDataFrame([(v,) for v in fact], "k long")
+    d = spark.createDataFrame([(v,) for v in dim], "k long")
+    got = count_not_in(f, "k", d, "k").first().violations
+    dim_vals = set(dim)
+    if not dim:
+        want = len(fact)
+    elif None in dim_vals:
+        want = 0
+    else:
+        want = sum(1 for v in fact if v is not None and v not in dim_vals)
+    assert got == want
