@@ -2,7 +2,7 @@
 
 ``percentile``/``median`` keep a map of every distinct value and merge it
 in one task.  Here the values (scaled to integers, e.g. cents) are located
-by a radix descent over 16-bit digits: at each level the candidate values
+by a radix descent over 21-bit digits: at each level the candidate values
 are counted per bucket (``v >> shift``) inside the one or two buckets that
 held the middle ranks at the level above, a running count inside each
 parent bucket gives every bucket's first global rank, and the buckets that
@@ -10,9 +10,10 @@ hold the middle ranks become the next level's parents.  At the last level
 (shift 0) the buckets are the values themselves.
 
 Every count is a distributed, map-side combined aggregate; each window is
-partitioned by its parent bucket and spans at most 65,536 buckets; the
-parents carried between levels are at most two rows (broadcast).  The
-values are scanned once per level (four levels for 64-bit integers).
+partitioned by its parent bucket and spans at most 2^21 buckets (a few MB of
+(bucket, count) pairs; the top level at most 2^22 for the full 64-bit range);
+the parents carried between levels are at most two rows (broadcast).  The
+values are scanned once per level: three levels for 64-bit integers.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVEL_SHIFTS = (48, 32, 16, 0)
+LEVEL_SHIFTS = (42, 21, 0)
 
 
 def _holds(rank: Column, start: Column, count: Column) -> Column:
@@ -40,7 +41,7 @@ def exact_median_scaled(df: DataFrame, value: Column | str, scale: int = 100) ->
     v = F.col(value) if isinstance(value, str) else value
     vals = (df.select(F.round(v * scale).cast("long").alias("v")).filter(F.col("v").isNotNull()))
 
-    # Top level: buckets of the highest digit, at most 65,536 of them overall.
+    # Top level: buckets of the highest digit (one bucket for |v| < 2^42).
     top = LEVEL_SHIFTS[0]
     counts = vals.groupBy(F.shiftright("v", top).alias("b")).agg(F.count(F.lit(1)).alias("c"))
     every = Window.partitionBy()
