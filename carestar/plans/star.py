@@ -130,6 +130,9 @@ def fact_encounter(raw: RawTables) -> DataFrame:
 def fact_medication(raw: RawTables) -> DataFrame:
     """One row per medication fill."""
     m = raw.medications
+    # Written raw fills carry year(START) as their partition column; it rides
+    # along as ``fill_year`` so year slicers on fills prune files.
+    extra = [F.col("start_year").alias("fill_year")] if "start_year" in m.columns else []
     return m.select(
         F.col("START").alias("fill_date"), date_key("START").alias("date_key"),
         F.col("PATIENT").alias("patient_key"), F.col("PAYER").alias("payer_key"),
@@ -140,6 +143,7 @@ def fact_medication(raw: RawTables) -> DataFrame:
         money("BASE_COST").alias("base_cost"), money("PAYER_COVERAGE").alias("payer_coverage"),
         money("TOTALCOST").alias("total_cost"), F.col("DISPENSES").alias("dispense_count"),
         flag(F.col("STOP").isNotNull()).alias("is_completed"),
+        *extra,
     )
 
 

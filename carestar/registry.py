@@ -22,7 +22,10 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
 
 def _star_table(name: str) -> Callable[[Star], DataFrame]:
     def job(s: Star) -> DataFrame:
-        return decimals_to_double(s.get(name))
+        df = s.get(name)
+        if "fill_year" in df.columns:  # partition helper, not a fact column
+            df = df.drop("fill_year")
+        return decimals_to_double(df)
     job.__name__ = name
     return job
 

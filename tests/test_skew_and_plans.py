@@ -114,11 +114,12 @@ def _plan(df):
 
 def test_year_slicer_prunes_raw_partitions(spark):
     from carestar.operators.slicers import apply_slicers
-    from carestar.plans.bi import bi_encounter
+    from carestar.plans.bi import bi_encounter, bi_medication
     from carestar.sources.warehouse import star_for
     s = star_for(spark, "/root/testdata/sf0.001")
-    plan = _plan(apply_slicers(bi_encounter(s), {"year": [1996, 1997]}))
-    assert re.search(r"PartitionFilters: \[start_year#\d+ IN \(1996,1997\)\]", plan)
+    for df in (bi_encounter(s), bi_medication(s)):
+        plan = _plan(apply_slicers(df, {"year": [1996, 1997]}))
+        assert re.search(r"PartitionFilters: \[start_year#\d+ IN \(1996,1997\)\]", plan)
 
 
 def test_no_cross_join_anywhere(spark):
