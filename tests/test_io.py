@@ -94,3 +94,31 @@ def test_fact_export_gzip_json_round_trip(spark, tmpdir_fresh):
     assert back.count() == df.count()
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
     assert glob.glob(os.path.join(paths["conditions.json.gz"], "*.json.gz"))
+
+
+ENCOUNTERS_CSV = (
+    "Id,START,STOP,PATIENT,ORGANIZATION,PROVIDER,PAYER,ENCOUNTERCLASS,CODE,DESCRIPTION,"
+    "BASE_ENCOUNTER_COST,TOTAL_CLAIM_COST,PAYER_COVERAGE,REASONCODE,REASONDESCRIPTION\n"
+    "e1,2019-02-17T05:07:38Z,2019-02-17T05:22:38Z,p1,o1,pr1,py1,wellness,410620009,"
+    "Well child visit (procedure),129.16,129.16,0.0,,\n"
+    "e2,2020-02-29T23:30:00Z,,p2,o1,pr1,,emergency,50849002,"
+    "\"Emergency room admission, first\",85.55,1234.5678,1000.1,444814009,Viral sinusitis (disorder)\n"
+)
+
+
+def test_ingest_claims_csv_format(spark, tmpdir_fresh):
+    """UTC 'Z' timestamps, empty optional fields, quoted commas, 4-place money."""
+    from decimal import Decimal
+    csv_dir = os.path.join(tmpdir_fresh, "csv")
+    _write(os.path.join(csv_dir, "encounters.csv"), ENCOUNTERS_CSV)
+    ingest.ingest_raw(spark, csv_dir, os.path.join(tmpdir_fresh, "pq")).collect()
+    enc = spark.read.parquet(os.path.join(tmpdir_fresh, "pq", "encounters"))
+    e = {r.Id: r for r in enc.collect()}
+    start = {r.Id: r.s for r in enc.select("Id", F.date_format("START", "yyyy-MM-dd HH:mm:ss")
+                                           .alias("s")).collect()}  # session zone UTC
+    assert start == {"e1": "2019-02-17 05:07:38", "e2": "2020-02-29 23:30:00"}
+    assert e["e2"].STOP is None and e["e2"].PAYER is None
+    assert e["e1"].REASONCODE is None  # empty field -> NULL
+    assert e["e2"].DESCRIPTION == "Emergency room admission, first"
+    assert e["e2"].TOTAL_CLAIM_COST == Decimal("1234.5678")
+    assert all(r._corrupt_record is None for r in e.values())
