@@ -72,13 +72,19 @@ def monthly_trend(star: Star) -> DataFrame:
 
 
 def _section(df: DataFrame, name: str, order: list[tuple[str, bool]],
-             fields: list[str]) -> DataFrame:
+             fields: list) -> DataFrame:
     """A bounded frame (top-k or a small domain) as one array<struct> column
     in a deterministic order: each struct carries its sort keys first
     (descending keys negated), ``array_sort`` orders them, and the keys are
-    dropped again.  One global aggregate, no window."""
+    dropped again.  One global aggregate, no window.
+
+    ``fields`` are names or (name, places): rounded money and percents are
+    written as decimals with that many places, so the JSON shows them as
+    plain numbers (``1234567``, ``33.3``)."""
     keys = [(-F.col(c) if desc else F.col(c)).alias(f"_k{i}") for i, (c, desc) in enumerate(order)]
-    arr = F.array_sort(F.collect_list(F.struct(*keys, *fields)))
+    cols = [F.col(f) if isinstance(f, str) else F.col(f[0]).cast(f"decimal(38,{f[1]})").alias(f[0])
+            for f in fields]
+    arr = F.array_sort(F.collect_list(F.struct(*keys, *cols)))
     drop = [f"_k{i}" for i in range(len(order))]
     return df.agg(F.transform(arr, lambda s: s.dropFields(*drop)).alias(name))
 
@@ -121,7 +127,7 @@ def dashboard_document(star: Star) -> DataFrame:
         _count(star.raw.patients, "total_patients"),
         _count(star.raw.encounters, "total_encounters"),
         ds.agg(F.sum("fills_all").alias("total_prescriptions"),
-               round_money(F.sum("rev_all"), 0).alias("total_revenue"),
+               F.round(F.sum("rev_all"), 0).cast("decimal(38,0)").alias("total_revenue"),
                F.count("drug_description").alias("unique_drugs")),
         _count(star.dim_provider, "total_providers"),
         _count(star.raw.organizations, "total_orgs"),
@@ -132,35 +138,35 @@ def dashboard_document(star: Star) -> DataFrame:
     sections = [
         kpis,
         _section(top_drugs, "top_drugs", [desc("revenue"), asc("drug")],
-                 ["drug", "fills", "revenue"]),
+                 ["drug", "fills", ("revenue", 0)]),
         _section(brand.payer_mix(star), "payer_mix", [desc("cost"), asc("payer")],
-                 ["payer", "patients", "fills", "cost", "cov_pct"]),
+                 ["payer", "patients", "fills", ("cost", 0), ("cov_pct", 1)]),
         _section(specialty_volume(star), "specialties", [desc("encounters"), asc("specialty")],
-                 ["specialty", "encounters", "cost"]),
+                 ["specialty", "encounters", ("cost", 0)]),
         _section(state_distribution(star), "states", [desc("patients"), asc("state")],
                  ["state", "patients"]),
         _section(age_band_distribution(star), "age_bands", [asc("age_band")],
                  ["age_band", "patients"]),
         _section(monthly_trend(star), "trend", [asc("year"), asc("month")],
-                 ["year", "month", "fills", "revenue"]),
+                 ["year", "month", "fills", ("revenue", 0)]),
         _section(conditions.condition_patients(star), "ta_patients",
                  [desc("patients"), asc("condition")], ["condition", "patients"]),
         _section(conditions.condition_encounter_cost_summary(star), "ta_enc_cost",
                  [desc("total_cost"), asc("condition")],
-                 ["condition", "patients", "total_cost", "avg_cost"]),
+                 ["condition", "patients", ("total_cost", 0), ("avg_cost", 0)]),
         _section(conditions.code_prefix_distribution(star)
                  .select(F.col("code_prefix").alias("chapter"),
                          F.col("patient_count").alias("patients"),
                          F.col("distinct_conditions").alias("conditions")), "icd10",
                  [desc("patients"), asc("chapter")], ["chapter", "patients", "conditions"]),
         _section(drug_class, "drug_class", [desc("revenue"), asc("class")],
-                 ["class", "fills", "revenue"]),
+                 ["class", "fills", ("revenue", 0)]),
         _section(adherence, "adherence", [desc("adherence_pct"), asc("drug")],
-                 ["drug", "fills", "adherence_pct"]),
+                 ["drug", "fills", ("adherence_pct", 1)]),
     ]
     doc = combine_one_row(*sections)
     names = [c for s in sections for c in s.columns]
-    return doc.select(F.to_json(F.struct(*names)).alias("document"))
+    return doc.select(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("document"))
 
 
 # ---- slicer and search domains (long form: dimension, position, value) ----
