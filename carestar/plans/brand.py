@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carestar.functions.expr import avg_money, first_word, out_money, pct, ratio_pct, round_money
+from carestar.functions.expr import avg_money, first_word, pct, ratio_pct, round_money
 from carestar.operators.joins import maybe_broadcast
 from carestar.operators.topk import top_k, top_keys
 from carestar.sources.tables import Star

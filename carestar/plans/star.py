@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.config import Profile
 from carestar.functions.expr import (age_band, date_key, flag, money, pct, to_date_lit,
                                      year_diff)
 from carestar.operators.counts import row_counts

@@ -1,6 +1,5 @@
 """Every registered job against its DuckDB oracle on the smallest test tables."""
 
-import hashlib
 import math
 import os
 
