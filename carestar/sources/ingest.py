@@ -1,9 +1,10 @@
 """L0: load the raw claims CSV files with explicit schemas into Parquet.
 
 The reference infers types by reading every file fully; here each known
-table has a ``StructType`` (ids and codes as strings, money as decimals),
-``PERMISSIVE`` mode keeps malformed lines in ``_corrupt_record`` instead
-of failing the load, and counted-only tables keep every column as text.
+table has a ``StructType`` (ids and codes as strings, money as decimals)
+applied by header name, values that do not parse are kept as NULL with the
+failing column names in ``_corrupt_record`` instead of failing the load,
+and counted-only tables keep every column as text.
 """
 
 from __future__ import annotations
@@ -22,16 +23,42 @@ from carestar.sources.tables import RAW_NAMES, RawTables
 CORRUPT = "_corrupt_record"
 
 
+def typed_by_name(text: DataFrame, schema: StructType) -> DataFrame:
+    """Text columns (named by the file header) -> the schema's columns picked
+    by name and ``try_cast`` to their types.  A value that does not parse
+    becomes NULL and its column name is listed in ``_corrupt_record``; a
+    schema column missing from the file is NULL."""
+    present = set(text.columns)
+    cols, failed = [], []
+    for f in schema.fields:
+        if f.name not in present:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        src = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, StringType):
+            cols.append(src.alias(f.name))
+            continue
+        typed = src.try_cast(f.dataType)
+        cols.append(typed.alias(f.name))
+        failed.append(F.when(src.isNotNull() & (F.trim(src) != "") & typed.isNull(),
+                             F.lit(f.name)))
+    bad = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    return text.select(*cols, F.when(F.size(bad) > 0, F.array_join(bad, ",")).alias(CORRUPT))
+
+
 def read_claims_csv(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
-    r = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX")
-         .option("dateFormat", "yyyy-MM-dd"))
+    """Read a claims CSV by header name (files carry more columns than the
+    jobs read, in their own order): every column as text, then typed by name."""
+    text = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
     if schema is None:
-        # Counted-only table: every column as text (header names), no inference pass.
-        header = spark.read.option("header", True).csv(path).columns
-        schema = StructType([StructField(c, StringType(), True) for c in header])
-    full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    return r.schema(full).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+        return text  # counted-only table: every column as text
+    return typed_by_name(text, schema)
+
+
+def text_schema(spark: SparkSession, path: str) -> StructType:
+    """All-text schema in the order of the file header (reads the header only)."""
+    header = spark.read.option("header", True).csv(path).columns
+    return StructType([StructField(c, StringType(), True) for c in header])
 
 
 def ingest_raw(spark: SparkSession, csv_dir: str, out_dir: str,
@@ -74,7 +101,7 @@ def load_raw(spark: SparkSession, parquet_dir: str, profile=None) -> RawTables:
 
 
 def corrupt_rows(df: DataFrame) -> DataFrame:
-    """Lines that did not parse against the schema."""
+    """Rows with at least one value that did not parse against the schema."""
     return df.filter(F.col(CORRUPT).isNotNull())
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from carestar.session import ensure_checkpoint_dir
+from carestar.sources.ingest import text_schema, typed_by_name
 
 
 def ingest_new_files(spark: SparkSession, csv_dir: str, schema: StructType, out_dir: str,
@@ -16,10 +17,12 @@ def ingest_new_files(spark: SparkSession, csv_dir: str, schema: StructType, out_
     the number of rows appended.  Already ingested files are skipped (the
     file-source log in the checkpoint); a failed run resumes where it left."""
     ckpt = posixpath.join(ensure_checkpoint_dir(spark), "carestar-streams", name)
-    stream = (spark.readStream.schema(schema).option("header", True)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX")
-              .csv(csv_dir))
+    # Files are read as text in their header's column order (taken from the
+    # files already there; later drops share the export format), then typed
+    # by column name like the batch ingest.
+    text = (spark.readStream.schema(text_schema(spark, csv_dir)).option("header", True)
+            .option("maxFilesPerTrigger", max_files_per_trigger).csv(csv_dir))
+    stream = typed_by_name(text, schema)
     q = (stream.writeStream.format("parquet").option("path", out_dir)
          .option("checkpointLocation", ckpt).outputMode("append")
          .trigger(availableNow=True).start())

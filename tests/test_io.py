@@ -24,22 +24,24 @@ def _write(path, text):
 
 
 def test_ingest_explicit_schema_and_counts(spark, tmpdir_fresh):
+    """Columns are taken by header name: the file has extra columns (SSN) and
+    its own order; a value that does not parse is NULL and reported."""
     csv_dir = os.path.join(tmpdir_fresh, "csv")
-    # header-matched columns: the schema lists the ones the jobs read
-    fields = [f.name for f in schemas.PATIENTS.fields]
-    lines = PATIENTS_CSV.splitlines()
-    header = lines[0].split(",")
-    keep = [header.index(c) for c in fields]
-    text = "\n".join(",".join(l.split(",")[i] for i in keep) for l in lines) + "\n"
-    _write(os.path.join(csv_dir, "patients.csv"), text)
+    _write(os.path.join(csv_dir, "patients.csv"), PATIENTS_CSV)
     _write(os.path.join(csv_dir, "observations.csv"), "DATE,PATIENT,CODE,VALUE\n2020-01-01,a1,x,1\n")
     counts = {r.table_name: r.row_count
               for r in ingest.ingest_raw(spark, csv_dir, os.path.join(tmpdir_fresh, "pq")).collect()}
     assert counts == {"patients": 3, "observations": 1}
     p = spark.read.parquet(os.path.join(tmpdir_fresh, "pq", "patients"))
     assert dict(p.dtypes)["HEALTHCARE_EXPENSES"] == "decimal(18,4)"
-    assert dict(p.dtypes)["Id"] == "string"
-    assert ingest.corrupt_rows(p).count() == 1  # the unparsable birth date
+    assert dict(p.dtypes)["Id"] == "string" and "SSN" not in p.columns
+    rows = {r.Id: r for r in p.collect()}
+    assert rows["a1"].GENDER == "F" and rows["a1"].STATE == "Massachusetts"
+    assert str(rows["a1"].HEALTHCARE_EXPENSES) == "100.1234"
+    assert rows["a2"].DEATHDATE.isoformat() == "2020-02-29"
+    bad = ingest.corrupt_rows(p).collect()
+    assert [(r.Id, r._corrupt_record) for r in bad] == [("a3", "BIRTHDATE")]
+    assert rows["a3"].BIRTHDATE is None and rows["a3"].GENDER == "M"
     obs = spark.read.parquet(os.path.join(tmpdir_fresh, "pq", "observations"))
     assert all(t == "string" for _, t in obs.dtypes)
 
@@ -73,14 +75,16 @@ def test_streaming_incremental_ingest_picks_only_new_files(spark, tmpdir_fresh):
     from carestar.streaming.incremental import ingest_new_files
     src = os.path.join(tmpdir_fresh, "drops")
     out = os.path.join(tmpdir_fresh, "out")
-    hdr = "Id,ORGANIZATION,NAME,GENDER,SPECIALITY,ADDRESS,CITY,STATE,ZIP,UTILIZATION\n"
-    _write(os.path.join(src, "part1.csv"), hdr + "p1,o1,A,F,GP,x,Boston,MA,02101,3\n")
+    # header in the export's own order, with a column the jobs do not read
+    hdr = "Id,ORGANIZATION,NAME,GENDER,SPECIALITY,ADDRESS,CITY,STATE,ZIP,LAT,UTILIZATION\n"
+    _write(os.path.join(src, "part1.csv"), hdr + "p1,o1,A,F,GP,x,Boston,MA,02101,42.3,3\n")
     n1 = ingest_new_files(spark, src, schemas.PROVIDERS, out, "providers-" + os.path.basename(tmpdir_fresh))
-    _write(os.path.join(src, "part2.csv"), hdr + "p2,o1,B,M,GP,y,Salem,MA,01970,4\n"
-           + "p3,o2,C,F,CARDIOLOGY,z,Lynn,MA,01901,5\n")
+    _write(os.path.join(src, "part2.csv"), hdr + "p2,o1,B,M,GP,y,Salem,MA,01970,42.5,4\n"
+           + "p3,o2,C,F,CARDIOLOGY,z,Lynn,MA,01901,42.4,5\n")
     n2 = ingest_new_files(spark, src, schemas.PROVIDERS, out, "providers-" + os.path.basename(tmpdir_fresh))
     assert (n1, n2) == (1, 2)
-    assert sorted(r.Id for r in spark.read.parquet(out).collect()) == ["p1", "p2", "p3"]
+    got = sorted((r.Id, r.UTILIZATION, r.ZIP) for r in spark.read.parquet(out).collect())
+    assert got == [("p1", 3, "02101"), ("p2", 4, "01970"), ("p3", 5, "01901")]
 
 
 def test_fact_export_gzip_json_round_trip(spark, tmpdir_fresh):
