@@ -55,14 +55,20 @@ def write_reports(star: Star, out_dir: str) -> dict[str, str]:
     from carestar.registry import JOBS
 
     reports = posixpath.join(out_dir, "reports")
-    skip = {"dashboard_document", "slicer_domains", "search_domains"}
+    # Not reports: the star tables (already written or views), the BI tables
+    # and fact exports (written below), the documents (written below), and
+    # the interactive filters, which take a user's selection.
+    skip = {"dashboard_document", "slicer_domains", "search_domains", "sliced_totals",
+            "drug_search", "condition_cohort_fills", "leaderboard_sliced"}
+    names = [n for n in JOBS if n not in skip
+             and not n.startswith(("dim_", "fact_", "bi_", "export_"))]
 
     def one(name):
         p = posixpath.join(reports, name)
         sinks.write_parquet(JOBS[name](star), p)
         return p
 
-    paths = run_concurrently(one, [n for n in JOBS if n not in skip])
+    paths = run_concurrently(one, names)
     docs = posixpath.join(out_dir, "documents")
     sinks.write_document(dashboard.dashboard_document(star), posixpath.join(docs, "dashboard"))
     sinks.write_document(domains_document(dashboard.slicer_domains(star)),
