@@ -24,7 +24,7 @@ from carestar.config import REFERENCE, Profile
 from carestar.plans import bi, dashboard
 from carestar.sources import ingest, sinks
 from carestar.sources.concurrent import run_concurrently
-from carestar.sources.tables import Star
+from carestar.sources.tables import STAR_NAMES, Star
 from carestar.sources.warehouse import write_raw, write_star
 
 
@@ -60,8 +60,8 @@ def write_reports(star: Star, out_dir: str) -> dict[str, str]:
     # the interactive filters, which take a user's selection.
     skip = {"dashboard_document", "slicer_domains", "search_domains", "sliced_totals",
             "drug_search", "condition_cohort_fills", "leaderboard_sliced"}
-    names = [n for n in JOBS if n not in skip
-             and not n.startswith(("dim_", "fact_", "bi_", "export_"))]
+    skip |= set(STAR_NAMES)
+    names = [n for n in JOBS if n not in skip and not n.startswith(("bi_", "export_"))]
 
     def one(name):
         p = posixpath.join(reports, name)
