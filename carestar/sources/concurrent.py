@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-MAX_CONCURRENT_JOBS = 4
+MAX_CONCURRENT_JOBS = 8
 
 
 def run_concurrently(fn, items, max_workers: int = MAX_CONCURRENT_JOBS) -> dict:
