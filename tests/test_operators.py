@@ -136,3 +136,18 @@ def test_count_not_in_property(spark, fact, dim):
     else:
         want = sum(1 for v in fact if v is not None and v not in dim_vals)
     assert got == want
+
+
+def test_star_reattaches_in_a_new_session_without_rebuilding(spark):
+    """A completed build is recorded per process; a later session reads the
+    written Parquet instead of writing it again."""
+    from carestar.sources import warehouse
+    sf = "/root/testdata/sf0.001"
+    s1 = warehouse.star_for(spark, sf)
+    done = [v for k, v in warehouse._BUILT.items() if k[0].endswith("sf0.001")]
+    assert len(done) == 1
+    root, raw_rows, dim_rows = done[0]
+    s2 = warehouse.attach(spark, root, raw_rows, dim_rows)
+    assert s2.fact_medication.count() == s1.fact_medication.count() == raw_rows["medications"]
+    assert s2.dim_rows == s1.dim_rows
+    assert sorted(s2.dim_date.collect()) == sorted(s1.dim_date.collect())
