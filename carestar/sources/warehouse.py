@@ -1,11 +1,14 @@
-"""Write the raw tables and the star once, read them back for every job.
+"""Write the raw tables once, read them back for every job.
 
 This is the reference's build step (CTAS of raw and star tables) as
-Parquet: the expensive joins of the role mapping and of the star run once
-per session and input; every job then scans narrow, pruned, pushed-down
-Parquet.  The folder lives under the session's shared checkpoint
-directory, so executors on any host see it and a lost executor only
-re-runs its own write tasks.
+Parquet: the joins of the role mapping run once per process and input, the
+dimensions that need joins or aggregates (provider, payer, date, diagnosis)
+are written too, and the facts and the patient dimension are views over the
+written raw tables (encounters and fills partitioned by year).  Every job
+then scans narrow, pruned, pushed-down Parquet.  The folder lives under the
+session's shared checkpoint directory, so executors on any host see it and a
+lost executor only re-runs its own write tasks; a later session of the same
+process re-attaches to a completed build instead of writing it again.
 """
 
 from __future__ import annotations
