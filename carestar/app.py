@@ -87,10 +87,20 @@ def main(argv=None) -> None:
     ap.add_argument("--cdc", help="optional extra CSV loaded and counted only")
     ap.add_argument("--shuffle-partitions", type=int, default=2000,
                     help="upper bound; AQE coalesces small shuffles")
+    ap.add_argument("--as-of", default=REFERENCE.as_of.isoformat(),
+                    help="date ages are computed against (YYYY-MM-DD)")
+    ap.add_argument("--spine", default="2010-01-01:2030-12-31",
+                    help="date dimension bounds START:END, or 'facts' for the years the facts cover")
     args = ap.parse_args(argv)
+    import datetime as dt
     from carestar.session import build_session
+    if args.spine == "facts":
+        lo = hi = None
+    else:
+        lo, hi = (dt.date.fromisoformat(x) for x in args.spine.split(":"))
+    profile = Profile(as_of=dt.date.fromisoformat(args.as_of), spine_start=lo, spine_end=hi)
     spark = build_session(master=None, shuffle_partitions=args.shuffle_partitions)
-    star = build_from_csv(spark, args.csv, args.out,
+    star = build_from_csv(spark, args.csv, args.out, profile=profile,
                           extra={"cdc_drug_overdose": args.cdc} if args.cdc else None)
     for k, v in sorted(write_reports(star, args.out).items()):
         print(k, v)
