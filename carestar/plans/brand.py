@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestar.functions.expr import avg_money, first_word, pct, ratio_pct, round_money
+from carestar.operators.distinct import agg_with_distinct
 from carestar.operators.joins import maybe_broadcast
 from carestar.operators.topk import top_k, top_keys
 from carestar.sources.tables import Star
@@ -18,14 +19,15 @@ def _positive_fills(star: Star) -> DataFrame:
 def brand_leaderboard(star: Star, k: int = 25) -> DataFrame:
     """L14 (flagship): top drugs by revenue among fills with a positive cost.
 
-    One pass over the fills: partial aggregates per (drug, patient) for the
-    distinct count, map-side combined per drug, so a drug holding a third of
-    all fills still leaves one small row per partition."""
-    agg = (_positive_fills(star).groupBy("drug_description")
-           .agg(F.count(F.lit(1)).alias("fill_count"),
-                F.count_distinct("patient_key").alias("unique_patients"),
-                F.sum("base_cost").alias("_base"), F.sum("payer_coverage").alias("_cov"),
-                F.sum("total_cost").alias("_rev")))
+    The sums are one map-side combined aggregate per drug (a drug holding a
+    third of all fills leaves one small row per partition); the distinct
+    patients come from the (drug, patient) pairs alone, so only narrow pairs
+    are shuffled, not the partial sums (``agg_with_distinct``)."""
+    agg = agg_with_distinct(
+        _positive_fills(star), ["drug_description"],
+        [F.count(F.lit(1)).alias("fill_count"), F.sum("base_cost").alias("_base"),
+         F.sum("payer_coverage").alias("_cov"), F.sum("total_cost").alias("_rev")],
+        {"unique_patients": "patient_key"})
     out = agg.select("drug_description", "fill_count", "unique_patients",
                      round_money("_base").alias("total_base_cost"),
                      round_money("_cov").alias("total_payer_coverage"),
@@ -88,10 +90,11 @@ def _with_payer(fills: DataFrame, star: Star) -> DataFrame:
 
 def payer_coverage_rate(star: Star) -> DataFrame:
     """Per payer, patients, fills, cost, covered amount and rate."""
-    agg = (_with_payer(_positive_fills(star), star).groupBy("payer_name")
-           .agg(F.count_distinct("patient_key").alias("patient_count"),
-                F.count(F.lit(1)).alias("fill_count"),
-                F.sum("total_cost").alias("_cost"), F.sum("payer_coverage").alias("_cov")))
+    agg = agg_with_distinct(
+        _with_payer(_positive_fills(star), star), ["payer_name"],
+        [F.count(F.lit(1)).alias("fill_count"), F.sum("total_cost").alias("_cost"),
+         F.sum("payer_coverage").alias("_cov")],
+        {"patient_count": "patient_key"})
     return agg.select("payer_name", "patient_count", "fill_count",
                       round_money("_cost").alias("total_drug_cost"),
                       round_money("_cov").alias("total_covered"),
@@ -100,10 +103,11 @@ def payer_coverage_rate(star: Star) -> DataFrame:
 
 def payer_mix(star: Star) -> DataFrame:
     """L17 dashboard variant: cost in whole dollars."""
-    agg = (_with_payer(_positive_fills(star), star).groupBy("payer_name")
-           .agg(F.count_distinct("patient_key").alias("patients"),
-                F.count(F.lit(1)).alias("fills"),
-                F.sum("total_cost").alias("_cost"), F.sum("payer_coverage").alias("_cov")))
+    agg = agg_with_distinct(
+        _with_payer(_positive_fills(star), star), ["payer_name"],
+        [F.count(F.lit(1)).alias("fills"), F.sum("total_cost").alias("_cost"),
+         F.sum("payer_coverage").alias("_cov")],
+        {"patients": "patient_key"})
     return agg.select(F.col("payer_name").alias("payer"), "patients", "fills",
                       round_money("_cost", 0).alias("cost"),
                       pct("_cov", "_cost").alias("cov_pct"))
@@ -170,11 +174,11 @@ def brand_by_state(star: Star, top: int = 20, k: int = 50) -> DataFrame:
 
 def drug_class_revenue(star: Star, k: int = 15) -> DataFrame:
     """Revenue by drug class (first word of the drug name)."""
-    agg = (_positive_fills(star).groupBy(first_word("drug_description").alias("drug_class"))
-           .agg(F.count(F.lit(1)).alias("fill_count"),
-                F.count_distinct("drug_description").alias("unique_drugs"),
-                F.count_distinct("patient_key").alias("unique_patients"),
-                F.sum("total_cost").alias("_rev")))
+    fills = _positive_fills(star).withColumn("drug_class", first_word("drug_description"))
+    agg = agg_with_distinct(
+        fills, ["drug_class"],
+        [F.count(F.lit(1)).alias("fill_count"), F.sum("total_cost").alias("_rev")],
+        {"unique_drugs": "drug_description", "unique_patients": "patient_key"})
     out = agg.select("drug_class", "fill_count", "unique_drugs", "unique_patients",
                      round_money("_rev", 0).alias("total_revenue"),
                      avg_money("_rev", "fill_count").alias("avg_cost_per_fill"), "_rev")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestar.functions.expr import avg_money, code_prefix, round_money
+from carestar.operators.distinct import agg_with_distinct
 from carestar.operators.topk import top_k
 from carestar.sources.tables import Star
 
@@ -13,10 +14,9 @@ from carestar.sources.tables import Star
 def condition_cost_rollup(star: Star, k: int = 20) -> DataFrame:
     """Patients and encounters per condition with the medication cost
     whose reason is that condition (both sides aggregated before the join)."""
-    c = star.raw.conditions
-    cc = (c.groupBy(F.col("DESCRIPTION").alias("condition_description"))
-          .agg(F.count_distinct("PATIENT").alias("patient_count"),
-               F.count_distinct("ENCOUNTER").alias("encounter_count")))
+    c = star.raw.conditions.withColumnRenamed("DESCRIPTION", "condition_description")
+    cc = agg_with_distinct(c, ["condition_description"], [],
+                           {"patient_count": "PATIENT", "encounter_count": "ENCOUNTER"})
     mc = (star.raw.medications.filter(F.col("REASONDESCRIPTION").isNotNull())
           .groupBy(F.col("REASONDESCRIPTION").alias("condition_description"))
           .agg(F.sum("TOTALCOST").alias("_med")))
@@ -27,10 +27,10 @@ def condition_cost_rollup(star: Star, k: int = 20) -> DataFrame:
 
 
 def _condition_counts(star: Star) -> DataFrame:
-    return (star.raw.conditions.groupBy(F.col("DESCRIPTION").alias("therapeutic_area"))
-            .agg(F.count_distinct("PATIENT").alias("patient_count"),
-                 F.count_distinct("ENCOUNTER").alias("encounter_count"),
-                 F.count(F.lit(1)).alias("condition_record_count")))
+    c = star.raw.conditions.withColumnRenamed("DESCRIPTION", "therapeutic_area")
+    return agg_with_distinct(c, ["therapeutic_area"],
+                             [F.count(F.lit(1)).alias("condition_record_count")],
+                             {"patient_count": "PATIENT", "encounter_count": "ENCOUNTER"})
 
 
 def condition_leaderboard(star: Star, k: int = 15) -> DataFrame:
@@ -90,9 +90,11 @@ def condition_drug_cost(star: Star, k: int = 15) -> DataFrame:
     """Pharmacy spend per reason condition."""
     m = star.raw.medications.filter(F.col("REASONDESCRIPTION").isNotNull()
                                     & (F.col("TOTALCOST") > 0))
-    agg = (m.groupBy(F.col("REASONDESCRIPTION").alias("therapeutic_area"))
-           .agg(F.count_distinct("PATIENT").alias("patient_count"),
-                F.count(F.lit(1)).alias("fill_count"), F.sum("TOTALCOST").alias("_tot")))
+    agg = agg_with_distinct(m.withColumnRenamed("REASONDESCRIPTION", "therapeutic_area"),
+                            ["therapeutic_area"],
+                            [F.count(F.lit(1)).alias("fill_count"),
+                             F.sum("TOTALCOST").alias("_tot")],
+                            {"patient_count": "PATIENT"})
     out = agg.select("therapeutic_area", "patient_count", "fill_count",
                      round_money("_tot").alias("total_drug_cost"),
                      avg_money("_tot", "fill_count").alias("avg_cost_per_fill"), "_tot")
@@ -101,8 +103,7 @@ def condition_drug_cost(star: Star, k: int = 15) -> DataFrame:
 
 def code_prefix_distribution(star: Star, k: int = 10) -> DataFrame:
     """Patients and distinct codes per first character of the code (Q4, Q5)."""
-    c = star.raw.conditions
-    agg = (c.groupBy(code_prefix("CODE").alias("code_prefix"))
-           .agg(F.count_distinct("PATIENT").alias("patient_count"),
-                F.count_distinct("CODE").alias("distinct_conditions")))
+    c = star.raw.conditions.withColumn("code_prefix", code_prefix("CODE"))
+    agg = agg_with_distinct(c, ["code_prefix"], [],
+                            {"patient_count": "PATIENT", "distinct_conditions": "CODE"})
     return top_k(agg, k, "-patient_count", "code_prefix")
