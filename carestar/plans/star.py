@@ -76,12 +76,16 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 def fact_date_bounds(raw: RawTables) -> DataFrame:
     """One row: Jan 1 of the first and Dec 31 of the last year any encounter
-    or fill falls in (partial min/max aggregates, one tiny shuffle)."""
-    starts = (raw.encounters.select(F.col("START").cast("date").alias("d"))
-              .unionByName(raw.medications.select(F.col("START").cast("date").alias("d"))))
-    b = starts.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    return b.select(F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("start"),
-                    F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("end"))
+    or fill falls in (partial min/max aggregates, one tiny shuffle).  Written
+    raw facts carry year(START) as their partition column; its min/max need
+    no timestamp data, only the partition values."""
+    def years(df: DataFrame) -> DataFrame:
+        y = F.col("start_year") if "start_year" in df.columns else F.year("START")
+        return df.select(y.alias("y"))
+    b = years(raw.encounters).unionByName(years(raw.medications)).agg(
+        F.min("y").alias("lo"), F.max("y").alias("hi"))
+    return b.select(F.make_date("lo", F.lit(1), F.lit(1)).alias("start"),
+                    F.make_date("hi", F.lit(12), F.lit(31)).alias("end"))
 
 
 def dim_date(raw: RawTables, spark: SparkSession | None = None) -> DataFrame:
