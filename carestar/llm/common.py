@@ -217,3 +217,111 @@ def components(edges: DataFrame) -> DataFrame:
         state = new
     return cur.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("component")).union(
         cur.select("b", "b").distinct())
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    if n:
+        out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_BASE = 0x9E6C63D0876A9A47  # odd, so it has an inverse modulo 2**64
+_STRETCH = 1 << 21          # bytes hashed at a time
+_TABLES: dict[str, np.ndarray] = {}
+
+
+def _table(name: str) -> np.ndarray:
+    if not _TABLES:
+        value = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+        lower = np.arange(256)
+        lower[65:91] += 32
+        blank = np.zeros(256, bool)
+        blank[[9, 10, 11, 12, 13, 32]] = True
+        _TABLES.update(value=value, lower=value[lower], blank=blank)
+    return _TABLES[name]
+
+
+class WordHashes:
+    """64-bit hash of every word of a slice of texts (a polynomial over
+    scrambled byte values, taken from prefix sums), the words' places.
+
+    hash, doc (text index), begin / end (byte offsets into ``data``),
+    counts (per text), starts (first word per text).  ``lower``: A-Z count
+    as a-z.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = False):
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + n + 1]
+        raw = texts.buffers()[2]
+        whole = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+        data = whole[offsets[0]:offsets[-1]]
+        self.offsets = offsets - offsets[0]
+        self.data = data
+        solid = ~_table("blank")[data]
+        first = np.zeros(len(data) + 1, bool)
+        first[self.offsets] = True
+        before = np.zeros(len(data), bool)
+        before[1:] = solid[:-1]
+        self.begin = np.flatnonzero(solid & (first[:-1] | ~before))
+        after = np.zeros(len(data), bool)
+        after[:-1] = solid[1:]
+        self.end = np.flatnonzero(solid & (first[1:] | ~after)) + 1
+        self.doc = np.searchsorted(self.offsets, self.begin, side="right") - 1
+        self.counts = np.bincount(self.doc, minlength=n).astype(np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.counts)]).astype(np.int64)
+        self.hash = self._hash(_table("lower" if lower else "value"))
+
+    def _hash(self, table: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.begin), np.uint64)
+        at = 0
+        while at < len(self.begin):  # stretches that end between words
+            to = max(at + 1, int(np.searchsorted(self.end, self.begin[at] + _STRETCH)))
+            lo, hi = self.begin[at], self.end[to - 1]
+            n = int(hi - lo)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(table[self.data[lo:hi]] * _cached_powers(_BASE, n)[:n], out=sums[1:])
+            s, e = self.begin[at:to] - lo, self.end[at:to] - lo
+            back = _cached_powers(pow(_BASE, -1, 1 << 64), n)
+            out[at:to] = mix64((sums[e] - sums[s]) * back[s]
+                               + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            at = to
+        return out
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _cached_powers(base: int, n: int) -> np.ndarray:
+    if n > _STRETCH + (1 << 16):  # a single giant word: not kept
+        return _powers(base, n)
+    if base not in _POWERS:
+        _POWERS[base] = _powers(base, _STRETCH + (1 << 16))
+    return _POWERS[base]
+
+
+def bloom(ids: DataFrame, column: str, words: int) -> np.ndarray:
+    """Bit filter of ``words`` (a power of two) 64-bit words over a bigint
+    column, two bits a value; it only ever spares work."""
+    h = F.col(column)
+    bits = ids.select(F.explode(F.array(*[
+        F.struct(F.pmod(F.shiftright(h, s), F.lit(words)).cast("int").alias("i"),
+                 F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                                 F.pmod(F.shiftright(h, s + 24), F.lit(64)).cast("int")).alias("bit"))
+        for s in (0, 32)])).alias("e"))
+    rows = bits.groupBy("e.i").agg(F.bit_or("e.bit").alias("bits")).toArrow()
+    out = np.zeros(words, np.int64)
+    out[rows.column("i").to_numpy()] = rows.column("bits").to_numpy()
+    return out
+
+
+def in_bloom(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which int64 values may be in the filter."""
+    on = np.ones(len(h), bool)
+    for s in (0, 32):
+        at = (h >> s) % len(table)
+        on &= ((table[at] >> ((h >> (s + 24)) % 64)) & 1).astype(bool)
+    return on

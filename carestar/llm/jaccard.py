@@ -34,8 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm.common import (Tokens, checkpoint, components, gram_hashes, mix64, pick,
-                                 read_table, slices, stash, text_hash, unstash)
+from carestar.llm.common import (WordHashes, bloom, checkpoint, components, gram_hashes, in_bloom,
+                                 mix64, pick, read_table, slices, stash, text_hash, unstash)
 
 SHINGLE = 5
 NUM, DEN = 4, 5                  # similarity 0.8 as a fraction
@@ -47,8 +47,8 @@ BLOOM_WORDS = 1 << 17            # 64-bit words of the filter for round trips
 
 def shingle_sets(texts: pa.Array):
     """Per text: sorted distinct 64-bit shingle hashes, as (values, starts)."""
-    t = Tokens(texts, lower=True)
-    h = t.hashes()
+    t = WordHashes(texts, lower=True)
+    h = t.hash
     n_docs = len(texts)
     grams = gram_hashes(h, SHINGLE)
     counts = np.maximum(t.counts - SHINGLE + 1, 0)
@@ -228,32 +228,17 @@ def shared_blocks(members: DataFrame) -> DataFrame:
     return ready.mapInArrow(run, "grp bigint, node bigint").distinct()
 
 
-def _bloom(ids: DataFrame, column: str) -> np.ndarray:
-    """Bit filter of fixed size (1 MB) over a column; only spares work."""
-    h = F.xxhash64(column)
-    rows = (ids.select(F.pmod(h, F.lit(BLOOM_WORDS)).cast("int").alias("i"),
-                       F.call_function("shiftleft", F.lit(1).cast("bigint"),
-                                       F.pmod(F.shiftright(h, 32), F.lit(64)).cast("int"))
-                       .alias("bit"))
-            .groupBy("i").agg(F.bit_or("bit").alias("bits")).toPandas())
-    words = np.zeros(BLOOM_WORDS, np.int64)
-    words[rows["i"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return words
-
-
 def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the ``wanted`` (node, rep) sets; ``rep``: the
     smallest document that has the set."""
-    words = docs.sparkSession.sparkContext.broadcast(_bloom(wanted, "rep"))
+    words = docs.sparkSession.sparkContext.broadcast(
+        bloom(wanted.select(F.xxhash64("rep").alias("h")), "h", BLOOM_WORDS))
     d = pick(docs, doc_id="bigint", text="string").where(F.col("text").isNotNull())
     d = d.select("text", F.xxhash64("doc_id").alias("h"))
 
     def run(batches):
-        table = words.value
         for batch in batches:
-            h = batch.column("h").to_numpy()
-            bit = (table[h % BLOOM_WORDS] >> ((h >> 32) % 64)) & 1
-            near = batch.filter(pa.array(bit.astype(bool)))
+            near = batch.filter(pa.array(in_bloom(words.value, batch.column("h").to_numpy())))
             for b in slices(near) if near.num_rows else ():
                 values, starts, sizes = shingle_sets(b.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), _i64(values))
