@@ -6,7 +6,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -94,10 +93,8 @@ class Tokens:
     """Words of a slice of texts: vocabulary, word index per token, and
     where each text's tokens begin."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        if lower:
-            texts = pc.ascii_lower(texts)
         lists = pc.ascii_split_whitespace(texts)
         flat = lists.flatten()
         parents = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
@@ -115,12 +112,6 @@ class Tokens:
     def words(self) -> list[bytes]:
         return self.vocabulary.to_pylist()
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hash of every token."""
-        own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.words()),
-                          dtype=np.uint64, count=len(self.vocabulary))
-        return own[self.index] if len(own) else np.zeros(0, np.uint64)
-
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (splitmix finaliser)."""

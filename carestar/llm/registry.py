@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from carestar.llm import bpe, chat, jaccard, langid, mixing, substring
+from carestar.llm import (bpe, chat, covertree, jaccard, langid, mixing, pitman_yor, simhash,
+                          substring, toxicity)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_fingerprints": simhash.op2_fingerprints,
+    "op3_lm_score": pitman_yor.op3_lm_score,
     "op4_byte_bpe": bpe.op4_byte_bpe,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_chat_format": chat.op6_chat_format,
+    "op7_embedding_dedup": covertree.op7_embedding_dedup,
     "op8_ngram_jaccard": jaccard.op8_ngram_jaccard,
     "op9_substring_dedup": substring.op9_substring_dedup,
     "op10_language_id": langid.op10_language_id,
