@@ -228,9 +228,10 @@ def shared_blocks(members: DataFrame) -> DataFrame:
     return ready.mapInArrow(run, "grp bigint, node bigint").distinct()
 
 
-def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the ``wanted`` (node, rep) sets; ``rep``: the
-    smallest document that has the set."""
+def _scan_sets(docs: DataFrame, wanted: DataFrame, make, schema: str) -> DataFrame:
+    """``make(node, values, starts, sizes)`` batches for the texts of the
+    ``wanted`` (node, rep) sets and a few more; ``rep``: the smallest
+    document that has the set."""
     words = docs.sparkSession.sparkContext.broadcast(
         bloom(wanted.select(F.xxhash64("rep").alias("h")), "h", BLOOM_WORDS))
     d = pick(docs, doc_id="bigint", text="string").where(F.col("text").isNotNull())
@@ -241,17 +242,60 @@ def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             near = batch.filter(pa.array(in_bloom(words.value, batch.column("h").to_numpy())))
             for b in slices(near) if near.num_rows else ():
                 values, starts, sizes = shingle_sets(b.column("text"))
-                lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), _i64(values))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(set_ids(values, starts, sizes)), lists], names=["node", "shingles"])
+                yield make(set_ids(values, starts, sizes), values, starts, sizes)
+
+    return d.mapInArrow(run, schema)
+
+
+def node_sketches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, sketch): size and parity bit sketch of the wanted sets."""
+    bits = 64 * SKETCH_WORDS
+
+    def make(node, values, starts, sizes):
+        row = np.repeat(np.arange(len(node)), sizes)
+        at = (mix64(values) % np.uint64(bits)).astype(np.int64)
+        odd = np.bincount(row * bits + at, minlength=len(node) * bits).astype(np.uint8) & 1
+        packed = np.packbits(odd.reshape(len(node), bits), axis=1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(node), pa.array(sizes.astype(np.int64)),
+             pa.array([p.tobytes() for p in packed], pa.binary())], names=["node", "n", "sketch"])
 
-    found = d.mapInArrow(run, "node bigint, shingles array<bigint>")
-    return (found.join(wanted.select("node"), "node", "left_semi")
-            .groupBy("node").agg(F.first("shingles").alias("shingles")))
+    found = _scan_sets(docs, wanted, make, "node bigint, n bigint, sketch binary")
+    return checkpoint(found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have Jaccard >= 0.8, exactly."""
+def near_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and the sketches' Hamming distance, a
+    lower bound of the difference, leave possible."""
+    def side(x):
+        return sketches.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"),
+                               F.col("sketch").alias(f"s{x}"))
+
+    def run(batches):
+        for b in batches:
+            na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64)
+                    .reshape(-1, SKETCH_WORDS) for c in ("sa", "sb"))
+            far = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            ok = pa.array((np.minimum(na, nb) * DEN >= np.maximum(na, nb) * NUM)
+                          & (far * (DEN + NUM) <= (na + nb) * (DEN - NUM)))
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)],
+                                             names=["a", "b"])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets have Jaccard >= 0.8, exactly; ``nodes``:
+    (node, rep).  Checkpointed."""
+    def make(node, values, starts, sizes):
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), _i64(values))
+        return pa.RecordBatch.from_arrays([pa.array(node), lists], names=["node", "shingles"])
+
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = _scan_sets(docs, checkpoint(ends.join(nodes, "node")), make,
+                      "node bigint, shingles array<bigint>")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
@@ -265,33 +309,12 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             row, val = row[order], val[order]
             twice = (row[1:] == row[:-1]) & (val[1:] == val[:-1])
             both = np.bincount(row[1:][twice], minlength=len(a))
-            ok = DEN * both >= NUM * (la + lb - both)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))],
-                names=["a", "b"])
+            ok = pa.array(DEN * both >= NUM * (la + lb - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok),
+                                              batch.column("b").filter(ok)], names=["a", "b"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return joined.mapInArrow(run, "a bigint, b bigint")
-
-
-def _sketches(sets: DataFrame) -> DataFrame:
-    """(node, n, sketch): a parity bit sketch of every set."""
-    bits = 64 * SKETCH_WORDS
-
-    def run(batches):
-        for b in batches:
-            col = b.column("shingles")
-            n = pc.list_value_length(col).to_numpy().astype(np.int64)
-            row = np.repeat(np.arange(len(n)), n)
-            at = (mix64(col.flatten().to_numpy().view(np.uint64)) % np.uint64(bits)).astype(np.int64)
-            odd = np.zeros(len(n) * bits, np.uint8)
-            np.add.at(odd, row * bits + at, 1)
-            packed = np.packbits(odd.reshape(len(n), bits) & 1, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array(n), pa.array([p.tobytes() for p in packed], pa.binary())],
-                names=["node", "n", "sketch"])
-
-    return sets.mapInArrow(run, "node bigint, n bigint, sketch binary")
+    return checkpoint(joined.mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def _cross_pairs(members: DataFrame) -> DataFrame:
@@ -338,12 +361,15 @@ def join_documents(docs: DataFrame) -> DataFrame:
              .agg(F.min("doc_id").alias("rep")))
     groups = checkpoint(shared_blocks(block_members(docs)).join(nodes, "node")
                         .select("grp", "node", "rep"))
+    members = checkpoint(groups.select("node", "rep").distinct())
+    sketches = node_sketches(docs, members)
     # First round: every set against the smallest one it shares a block with.
     hub = groups.groupBy("grp").agg(F.min("node").alias("a"))
-    stars = checkpoint(groups.join(hub, "grp").groupBy(F.col("node").alias("b"))
-                       .agg(F.min("a").alias("a")).where("a < b").select("a", "b"))
-    shingles = checkpoint(node_sets(docs, groups.select("node", "rep").distinct()))
-    first = checkpoint(verified(stars, shingles))
+    tried = checkpoint(groups.join(hub, "grp").select("a", F.col("node").alias("b"))
+                       .where("a < b").distinct())
+    stars = checkpoint(near_by_sketch(tried, sketches).groupBy("b").agg(F.min("a").alias("a"))
+                       .select("a", "b"))
+    first = verified(docs, stars, members)
     label = components(first).withColumnRenamed("v", "node")
     # Second round: groups whose members are not all connected yet.
     named = (groups.join(label, "node", "left")
@@ -352,10 +378,10 @@ def join_documents(docs: DataFrame) -> DataFrame:
                                       F.max("component").alias("hi"), F.count("*").alias("size"))
              .where("lo <> hi")
              .select("grp", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")))
-    rows = named.join(open_, "grp").join(_sketches(shingles), "node").select(
+    rows = named.join(open_, "grp").join(sketches, "node").select(
         "grp", "chunks", "node", "component", "n", "sketch")
-    more = _cross_pairs(rows).join(stars, ["a", "b"], "left_anti")
-    second = checkpoint(verified(more, shingles))
+    more = checkpoint(_cross_pairs(rows).join(stars, ["a", "b"], "left_anti"))
+    second = verified(docs, more, members)
     final = components(first.union(second)).withColumnRenamed("v", "node")
     placed = nodes.join(final, "node", "left").select(
         "node", "rep", F.coalesce("component", "node").alias("linked"))
