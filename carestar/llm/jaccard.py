@@ -39,7 +39,7 @@ from carestar.llm.common import (WordHashes, bloom, checkpoint, components, gram
 
 SHINGLE = 5
 NUM, DEN = 4, 5                  # similarity 0.8 as a fraction
-SKETCH_WORDS = 8                 # 512-bit sketches in the second round
+SKETCH_LOAD = 2                  # bits of a set's bit sketch per element, at least
 CHUNK = 2048                     # members of a group compared at a time
 MAX_HELD = 2_000_000             # rows of one block held to name its group
 BLOOM_WORDS = 1 << 17            # 64-bit words of the filter for round trips
@@ -247,23 +247,46 @@ def _scan_sets(docs: DataFrame, wanted: DataFrame, make, schema: str) -> DataFra
     return d.mapInArrow(run, schema)
 
 
+def sketch_words(sizes: np.ndarray) -> np.ndarray:
+    """64-bit words of the bit sketches: powers of two, so that a longer
+    sketch folds to a shorter one (its halves XOR-ed)."""
+    need = np.maximum(1, -(-sizes * SKETCH_LOAD // 64))
+    return (1 << np.ceil(np.log2(need)).astype(np.int64))
+
+
+def fold(sketch: np.ndarray, words: int) -> np.ndarray:
+    """Rows of parity sketches folded to ``words`` words."""
+    while sketch.shape[1] > words:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
+
+
 def node_sketches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, n, sketch): size and parity bit sketch of the wanted sets."""
-    bits = 64 * SKETCH_WORDS
-
     def make(node, values, starts, sizes):
+        bits = 64 * sketch_words(sizes)
         row = np.repeat(np.arange(len(node)), sizes)
-        at = (mix64(values) % np.uint64(bits)).astype(np.int64)
-        odd = np.bincount(row * bits + at, minlength=len(node) * bits).astype(np.uint8) & 1
-        packed = np.packbits(odd.reshape(len(node), bits), axis=1)
+        first = np.concatenate([[0], np.cumsum(bits)])
+        at = first[row] + (mix64(values) % bits[row].astype(np.uint64)).astype(np.int64)
+        odd = np.bincount(at, minlength=int(first[-1])).astype(np.uint8) & 1
+        packed = np.packbits(odd, bitorder="little")
+        offsets = pa.py_buffer((first // 8).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [pa.array(node), pa.array(sizes.astype(np.int64)),
-             pa.array([p.tobytes() for p in packed], pa.binary())], names=["node", "n", "sketch"])
+             pa.Array.from_buffers(pa.binary(), len(node), [None, offsets, pa.py_buffer(packed)])],
+            names=["node", "n", "sketch"])
 
     found = _scan_sets(docs, wanted, make, "node bigint, n bigint, sketch binary")
     return checkpoint(found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
 
+def possible(na, nb, far):
+    """Sizes and a lower bound of the difference allow a link."""
+    return (np.minimum(na, nb) * DEN >= np.maximum(na, nb) * NUM) & (
+        far * (DEN + NUM) <= (na + nb) * (DEN - NUM))
+
+
 def near_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) that sizes and the sketches' Hamming distance, a
     lower bound of the difference, leave possible."""
@@ -274,11 +297,16 @@ def near_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64)
-                    .reshape(-1, SKETCH_WORDS) for c in ("sa", "sb"))
-            far = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-            ok = pa.array((np.minimum(na, nb) * DEN >= np.maximum(na, nb) * NUM)
-                          & (far * (DEN + NUM) <= (na + nb) * (DEN - NUM)))
+            wa, wb = sketch_words(na), sketch_words(nb)
+            sa, sb = b.column("sa").to_pylist(), b.column("sb").to_pylist()
+            far = np.zeros(len(na), np.int64)
+            for x, y in {*zip(wa.tolist(), wb.tolist())}:  # few lengths
+                rows = np.flatnonzero((wa == x) & (wb == y))
+                u = np.frombuffer(b"".join(sa[i] for i in rows), np.uint64).reshape(-1, x)
+                v = np.frombuffer(b"".join(sb[i] for i in rows), np.uint64).reshape(-1, y)
+                k = min(x, y)
+                far[rows] = np.bitwise_count(fold(u, k) ^ fold(v, k)).sum(1, dtype=np.int64)
+            ok = pa.array(possible(na, nb, far))
             yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)],
                                              names=["a", "b"])
 
@@ -333,20 +361,30 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
         n = table.column("n").to_numpy()
         own = table.column("own").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        sk = np.frombuffer(b"".join(table.column("sketch").to_pylist()),
-                           np.uint64).reshape(len(node), SKETCH_WORDS)
+        width = sketch_words(n)
+        raw = table.column("sketch").to_pylist()
+        # Per length: all sketches at least that long, folded to it.
+        levels = {}
+        for w in np.unique(width).tolist():
+            level = np.zeros((len(n), w), np.uint64)
+            for v in np.unique(width[width >= w]).tolist():
+                rows = np.flatnonzero(width == v)
+                level[rows] = fold(np.frombuffer(b"".join(raw[k] for k in rows), np.uint64)
+                                   .reshape(-1, v), w)
+            levels[w] = level
         left = np.flatnonzero(own == i)
         right = np.flatnonzero(own == j)
         out_a, out_b = [], []
         for x in left.tolist():
             r = right[node[right] > node[x]] if i == j else right
             r = r[comp[r] != comp[x]]
-            lo, hi = np.minimum(n[r], n[x]), np.maximum(n[r], n[x])
-            r = r[lo * DEN >= hi * NUM]
-            far = np.bitwise_count(sk[r] ^ sk[x]).sum(1, dtype=np.int64)
-            r = r[far * (DEN + NUM) <= (n[r] + n[x]) * (DEN - NUM)]
-            out_a.append(np.minimum(node[r], node[x]))
-            out_b.append(np.maximum(node[r], node[x]))
+            r = r[possible(n[r], n[x], 0)]
+            for w in np.unique(np.minimum(width[r], width[x])).tolist():
+                q = r[np.minimum(width[r], width[x]) == w]
+                far = np.bitwise_count(levels[w][q] ^ levels[w][x]).sum(1, dtype=np.int64)
+                q = q[possible(n[q], n[x], far)]
+                out_a.append(np.minimum(node[q], node[x]))
+                out_b.append(np.maximum(node[q], node[x]))
         cat = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
         return pa.table({"a": cat(out_a), "b": cat(out_b)})
 
