@@ -1,0 +1,550 @@
+"""The dealt operators against brute force, round trips and edge cases."""
+
+import base64
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+SF = "/root/testdata/sf0.001"
+
+
+def words(text, lower=False):
+    raw = (text or "").encode("utf-8")
+    return (raw.lower() if lower else raw).split()
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def read(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+# ---- shared helpers ---------------------------------------------------------
+
+def test_word_hashes_agree_with_split():
+    from carestar.llm.common import WordHashes
+    texts = ["", None, " a\x0bb ", "A a", "x" * 3_000_000 + " a", "é b c"]
+    for lower in (False, True):
+        t = WordHashes(pa.array(texts).slice(1), lower=lower)
+        expected = [w for x in texts[1:] for w in words(x, lower)]
+        assert len(t.hash) == len(expected)
+        seen = {}
+        for w, h in zip(expected, t.hash.tolist()):
+            assert seen.setdefault(w, h) == h
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_running_totals_and_components(spark):
+    from carestar.llm.common import components, running
+    df = spark.range(1000).selectExpr("(id * 37) % 1000 as k", "id % 7 as v").repartition(5)
+    got = sorted(rows(running(df, ["k"], ["v"])), key=lambda r: r["k"])
+    total = 0
+    for i, r in enumerate(got):
+        assert (r["rank"], r["before_v"]) == (i, total)
+        total += r["v"]
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
+    got = {r["v"]: r["component"] for r in rows(components(
+        spark.createDataFrame(edges, "a long, b long")))}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+# ---- 1: mixing --------------------------------------------------------------
+
+def test_mix_budgets_and_edges(spark, documents, no_documents):
+    from carestar.llm.mixing import mix, plan_mix
+    got = rows(plan_mix(documents))
+    assert len(got) == documents.count()
+    size = {s: sum(r["size"] for r in got if r["skey"] == s) for s in {r["skey"] for r in got}}
+    for r in got:
+        assert r["source_size"] == size[r["skey"]] and 0 <= r["taken"] <= 2 * r["size"]
+        assert r["target"] <= 2 * r["source_size"]
+    assert sum({r["skey"]: r["target"] for r in got}.values()) == pytest.approx(
+        1.5 * sum(size.values()))
+    for s in size:
+        mine = [r for r in got if r["skey"] == s]
+        assert sum(r["taken"] for r in mine) == int(mine[0]["target"])
+    out = mix(documents)
+    assert out.columns == documents.columns
+    assert sum(len(words(r["text"])) for r in rows(out)) == sum(r["taken"] for r in got)
+    assert mix(no_documents).count() == 0 and plan_mix(no_documents).count() == 0
+
+
+# ---- 2: fingerprints --------------------------------------------------------
+
+def test_fingerprints(spark, documents, no_documents):
+    from carestar.llm import simhash
+    simhash_rows, simhash.BLOCK_ROWS = simhash.BLOCK_ROWS, 3  # several order blocks
+    try:
+        got = rows(simhash.fingerprints(documents))
+    finally:
+        simhash.BLOCK_ROWS = simhash_rows
+    order = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "")
+                    for r in rows(documents)))
+    expected = Counter()
+    for k, (null, i, text) in enumerate(order):
+        other = order[(k + 1) % len(order)][2]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + other[:half]
+        expected[(None if null else i, len(text), hashlib.sha256(edited.encode()).hexdigest())] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == expected
+    prints = {}
+    for r in got:
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        prints.setdefault(r["doc_id"], set()).add((r["f1"], r["f2"]))
+    assert prints[0] == prints[1] == prints[13] and prints[5] == prints[6] == prints[7] == {(0, 0)}
+    assert simhash.fingerprints(no_documents).count() == 0
+
+
+def test_fingerprint_search_finds_all(spark):
+    from carestar.llm.simhash import RADIUS, near_fingerprints
+    rng = np.random.default_rng(3)
+    base = rng.integers(-2**62, 2**62, (12, 2))
+    out = []
+    for a, b in base.tolist():
+        for flips in range(9):
+            x, y = a, b
+            for bit in rng.choice(127, flips, replace=False).tolist():
+                if bit < 63:
+                    x ^= 1 << bit
+                elif bit < 126:
+                    y ^= 1 << (bit - 63)
+            out.append((x, y))
+    df = spark.createDataFrame(out, "f1 long, f2 long")
+    got = {(r["q1"], r["q2"], r["f1"], r["f2"]) for r in rows(near_fingerprints(df, df))}
+    far = lambda p, q: sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(p, q))
+    assert got == {(*p, *q) for p in set(out) for q in set(out) if 0 < far(p, q) <= RADIUS}
+
+
+# ---- 3: LM ------------------------------------------------------------------
+
+def test_lm_scores_are_probabilities(spark):
+    from carestar.llm import pitman_yor as lm
+    train = ["a b c a b", "a b d", "b b c", ""] * 3
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(train)], "doc_id long, text string")
+    model = lm.learn(docs)
+    table = rows(model.table)
+    assert model.vocabulary == 5 and model.tokens == sum(len(t.split()) + 1 for t in train)
+    for context in range(lm.CONTEXTS):  # every context's words and the unknown one add up to 1
+        up = context // lm.CHILDREN
+        total = 0.0
+        for r in [*table, None]:
+            a0 = r["a0"] if r else 0.0
+            a1 = dict(zip(r["par"], r["a1"])).get(up, 0.0) if r else 0.0
+            a2 = dict(zip(r["ctx"], r["a2"])).get(context, 0.0) if r else 0.0
+            total += a2 + model.g2[context] * (a1 + model.g1[up] * (a0 + model.unseen))
+        assert total == pytest.approx(1.0)
+
+
+def test_table_draws_follow_the_conditional():
+    from carestar.llm.pitman_yor import _stirling, draw_tables
+    c, d, weight, n = 5, 0.6, 1.7, 40_000
+    got = draw_tables(np.full(n, c), np.full(n, weight), d, np.arange(n, dtype=np.uint64) * np.uint64(7919))
+    logit = _stirling(d)[c, 1:c + 1] + np.arange(1, c + 1) * np.log(weight)
+    p = np.exp(logit - np.logaddexp.reduce(logit))
+    assert np.abs(np.bincount(got, minlength=c + 1)[1:] / n - p).max() < 0.01
+    big = draw_tables(np.array([100_000]), np.array([50.0]), 0.5, np.array([1], np.uint64))
+    assert 1 <= big[0] <= 100_000
+
+
+def test_lm_base_score_and_hot_words(spark, documents, no_documents):
+    from pyspark.sql import functions as F
+    from carestar.llm import pitman_yor as lm
+    d = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        "held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2)
+    counts = Counter()
+    for r in rows(d):
+        if not r["held_out"]:
+            counts.update(words(r["text"], True) + ["end"])
+    total, distinct = sum(counts.values()), len(counts)
+    model = lm.learn(d.where("not held_out"))
+    results = []
+    for hot in (lm.HOT_WORDS, 0):
+        before, lm.HOT_WORDS = lm.HOT_WORDS, hot
+        try:
+            results.append(sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"],
+                                   round(r["base_score"], 6), round(r["score"], 2))
+                                  for r in rows(lm.score(d, model))))
+        finally:
+            lm.HOT_WORDS = before
+    assert results[0] == results[1]
+    expected = sorted((r["doc_id"] is None, r["doc_id"] or 0, len(w := words(r["text"], True) + ["end"]),
+                       sum(counts[x] > 0 for x in w),
+                       round(sum(np.log10((counts[x] + 1) / (total + distinct + 1)) for x in w), 6))
+                      for r in rows(d))
+    assert [r[:5] for r in results[0]] == expected
+    assert lm.score(d.where("1 = 0"), lm.learn(d.where("1 = 0"))).count() == 0
+
+
+# ---- 4: BPE -----------------------------------------------------------------
+
+def test_bpe_matches_tiktoken_and_round_trips(spark, documents, no_documents):
+    import public_tokenizers as P
+    import tiktoken
+    from carestar.llm.bpe import Codec, Utf8Stream, encode_documents
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = Codec()
+    rng = np.random.default_rng(5)
+    letters = "abcdehinorst étïñß 漢字🙂\n\t'0123 .,<|>\x1c\x85  "
+    texts = ["".join(rng.choice(list(letters), n)) for n in rng.integers(0, 300, 150)]
+    texts += ["a" * 5000, "antidisestablishment" * 300, "=" * 999, " " * 777 + "x", "\r\n\r\n it's"]
+    for t in texts:
+        ids = codec.encode(t)
+        assert ids == enc.encode_ordinary(t)
+        assert codec.decode(ids) == t
+    raw = "añ漢🙂z".encode()
+    stream = Utf8Stream()
+    assert "".join(stream.feed(raw[i:i + 1]) for i in range(len(raw))) + stream.end() == raw.decode()
+    got = rows(encode_documents(documents))
+    assert Counter(r["decoded_sha256"] for r in got) == Counter(
+        hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in rows(documents))
+    assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+    assert encode_documents(no_documents).count() == 0
+
+
+# ---- 5: toxicity ------------------------------------------------------------
+
+def test_toxicity_held_out_accuracy(spark):
+    from carestar.llm.toxicity import op5_toxicity
+    sf = "/root/testdata/sf0.1"
+    got = op5_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    held = [r for r in rows(got.where("held_out"))]
+    hit = sum(r["predicted"] == 1 and r["toxic"] == 1 for r in held)
+    assert hit / sum(r["toxic"] for r in held) >= 0.85
+    assert hit / sum(r["predicted"] for r in held) >= 0.9
+
+
+def test_toxicity_edges(spark, documents, no_documents):
+    from carestar.llm.toxicity import score
+    labels = spark.createDataFrame([(0, None), (None, 1)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in rows(score(documents, labels))}
+    assert got[100]["predicted"] == 1 and got[0]["predicted"] == 0 and got[5]["predicted"] == 0
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert got[8]["held_out"] == (zlib.crc32(b"8") % 4 == 2)
+    assert score(no_documents, labels).count() == 0
+
+
+# ---- 6: chat ----------------------------------------------------------------
+
+def test_chat_round_trip(spark):
+    from carestar.llm.chat import END, START, expand, read_back
+    nasty = ["<|im_end|>", "<\\|im_start|>x", "<", "|", "<\\\\|", "a\\", "", None, "\n<|im_end|>\n"]
+    turns = [(c, t, ("user", "assistant", None, "sys\\tem\nrole")[(c + t) % 4], nasty[(c * 5 + t) % 9])
+             for c in (1, 2, 3) for t in range(9)]
+    turns += [(4, 0, "user", "no answer"), (None, 0, "user", "q"), (None, 1, "assistant", "a"),
+              (0, 1, "assistant", "same turn"), (0, 1, "assistant", "same turn"), (0, None, "user", "z")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    key = lambda r: (-1 if r[1] is None else r[1], r[2] or "", r[3] or "")
+    expected = {}
+    for c in {t[0] for t in turns}:
+        own = sorted((t for t in turns if t[0] == c), key=key)
+        told = "".join(f"{t[2] or ''}\n{t[3] or ''}\n" for t in own)
+        loss = "".join(t[3] or "" for t in own if t[2] == "assistant")
+        expected[c] = (len(own), hashlib.sha256(told.encode()).hexdigest(), len(loss),
+                       hashlib.sha256(loss.encode()).hexdigest())
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"])
+           for r in rows(read_back(expand(df)))}
+    assert got == expected
+    for r in rows(expand(df)):  # a context is all turns before: only whole turns, one span each
+        assert r["formatted"].startswith(START) and r["formatted"].endswith(f"{END}\n")
+        if r["loss_end"] > r["loss_start"]:
+            assert r["formatted"][r["loss_end"]:] == f"{END}\n"
+    assert read_back(expand(df.where("1 = 0"))).count() == 0
+
+
+# ---- 7: cover tree ----------------------------------------------------------
+
+def test_embedding_links_against_brute_force(spark):
+    from carestar.llm import covertree
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(6, 8))
+    v = np.concatenate([c + rng.normal(scale=s, size=(60, 8))
+                        for c, s in zip(centres, (0.01, 0.2, 0.5, 0.6, 0.8, 2.0))])
+    data = [(i, [float(y) for y in x]) for i, x in enumerate(v)]
+    data += [(1000 + i, data[i][1]) for i in range(20)] + [(1100, [2 * y for y in data[0][1]])]
+    odd = [(2000, None), (2001, []), (2002, [0.0] * 8), (2003, [float("nan")] * 8),
+           (2004, [float("inf")] + [1.0] * 7), (2005, [None] + [1.0] * 7), (2006, [1.0, 2.0]),
+           (2007, [1.0, 2.0])]
+    df = spark.createDataFrame([(i, x, "z") for i, x in data + odd],
+                               "vec_id long, embedding array<double>, rep string")
+    before = covertree.BLOCK, covertree.PIVOTS
+    covertree.BLOCK, covertree.PIVOTS = 100, 40
+    try:
+        got = {r["vec_id"]: r for r in rows(covertree.near_links(df))}
+    finally:
+        covertree.BLOCK, covertree.PIVOTS = before
+    ids = [i for i, _ in data] + [2006, 2007]
+    vec = [np.array(x) for _, x in data] + [np.array([1.0, 2.0])] * 2
+    links = {i: set() for i in ids}
+    for a in range(len(ids)):
+        for b in range(a):
+            if len(vec[a]) == len(vec[b]) and vec[a] @ vec[b] >= 0.9 * np.sqrt(
+                    (vec[a] @ vec[a]) * (vec[b] @ vec[b])):
+                links[ids[a]].add(ids[b])
+                links[ids[b]].add(ids[a])
+    comp = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for i in ids:
+            low = min([comp[i], *(comp[j] for j in links[i])])
+            changed |= low != comp[i]
+            comp[i] = low
+    for i in ids:
+        assert (got[i]["n_links"], got[i]["component_id"]) == (len(links[i]), comp[i])
+        assert got[i]["kept"] == (comp[i] == i)
+    for i in range(2000, 2006):
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
+    assert covertree.near_links(df.where("1 = 0")).count() == 0
+
+
+def test_dual_traversal_loses_no_pair():
+    from carestar.llm.covertree import dual_traversal, unit
+    rng = np.random.default_rng(4)
+    a = unit(np.concatenate([rng.normal(size=(1, 6)) + rng.normal(scale=0.1, size=(300, 6)),
+                             rng.normal(size=(300, 6))]))
+    b = unit(rng.normal(size=(500, 6)))
+    for x, y, same in ((a, b, False), (a, a, True)):
+        found = np.zeros((len(x), len(y)), bool)
+
+        def visit(p, q):
+            found[np.ix_(p, q)] = True
+            if same:
+                found[np.ix_(q, p)] = True
+
+        dual_traversal(x, y, 0.9, same, visit)
+        assert found[(x @ y.T) >= 0.9].all()
+
+
+# ---- 8: Jaccard -------------------------------------------------------------
+
+def brute_components(docs):
+    sets = []
+    for i, text in docs:
+        w = words(text, True)
+        grams = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+        sets.append((i, grams))
+    comp = list(range(len(sets)))
+    linked = [(a, b) for a in range(len(sets)) for b in range(a)
+              if sets[a][1] and sets[b][1] and 100 * len(sets[a][1] & sets[b][1])
+              >= 80 * len(sets[a][1] | sets[b][1])]
+    for _ in range(len(sets)):
+        for a, b in linked:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    low = {}
+    for (i, _), c in zip(sets, comp):
+        low[c] = min(low.get(c, i), i)
+    return {i: (len(s), low[c]) for (i, s), c in zip(sets, comp)}
+
+
+def test_jaccard_against_brute_force(spark):
+    from carestar.llm.jaccard import join_documents
+    rng = np.random.default_rng(8)
+    vocabulary = [f"t{i}" for i in range(200)]
+    docs = []
+    for k in range(160):
+        if k % 4 and docs:  # an edited copy of an earlier text
+            w = docs[int(rng.integers(len(docs)))].split()
+            for _ in range(int(rng.integers(0, 4))):
+                if w:
+                    w[int(rng.integers(len(w)))] = str(rng.choice(vocabulary))
+            docs.append(" ".join(w[int(rng.integers(0, 2)):]).upper() if k % 8 == 1 else " ".join(w))
+        else:
+            docs.append(" ".join(rng.choice(vocabulary, int(rng.choice([1, 4, 5, 6, 9, 14, 40, 300])))))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(join_documents(df))}
+    assert got == brute_components(list(enumerate(docs)))
+
+
+def test_jaccard_blocks_lose_no_linked_pair():
+    from carestar.llm.jaccard import signatures
+    rng = np.random.default_rng(9)
+    for size in (1, 2, 3, 4, 5, 8, 9, 18, 45, 100, 127, 128, 900):
+        for _ in range(20):
+            common = rng.integers(0, 2**63, size, dtype=np.uint64)
+            spare = (size * 2) // 9  # differences so that J stays at or above 0.8
+            left = int(rng.integers(0, spare // 2 + 1))
+            a = common[left:]
+            b = np.concatenate([common, rng.integers(0, 2**63, max(0, spare // 4 - left), dtype=np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            both = len(np.intersect1d(a, b))
+            if not len(a) or 100 * both < 80 * (len(a) + len(b) - both):
+                continue
+            key, doc = signatures(np.concatenate([a, b]), None, np.array([len(a), len(b)]))
+            assert set(key[doc == 0].tolist()) & set(key[doc == 1].tolist())
+
+
+def test_jaccard_edges(spark, documents, no_documents):
+    from carestar.llm.jaccard import join_documents, keep_one
+    got = rows(join_documents(documents))
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == documents.count()
+    assert by[1]["component_id"] == by[13]["component_id"] == by[2]["component_id"] == 0
+    assert by[9]["component_id"] == 8 and by[5]["component_id"] == 5 and by[6]["n_shingles"] == 0
+    kept = keep_one(documents)
+    assert kept.columns == documents.columns
+    ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows(kept))
+    assert [i for n, i in ids if not n and i in (0, 1, 2, 13)] == [0] and (True, 0) in ids
+    assert keep_one(no_documents).count() == 0
+
+
+# ---- 9: substring dedup -----------------------------------------------------
+
+def test_substring_against_brute_force(spark, documents, no_documents):
+    from carestar.llm import substring
+    rng = np.random.default_rng(10)
+    words_ = [f"v{i}" for i in range(50)]
+    passages = [" ".join(rng.choice(words_, n)) for n in (13, 14, 30, 200)]
+    texts = []
+    for k in range(80):
+        parts = [" ".join(rng.choice(words_, int(rng.integers(0, 30))))]
+        parts += [passages[int(rng.integers(4))] for _ in range(int(rng.integers(0, 3)))]
+        parts.append(" ".join(rng.choice(words_, int(rng.integers(0, 30)))))
+        texts.append("\n".join(parts))
+    texts += [texts[3], None, "", "z " * 300, "z " * 20]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    first = {}
+    for i, t in enumerate(texts):
+        w = words(t)
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k:k + 13]), i)
+    expected = {}
+    for i, t in enumerate(texts):
+        w = words(t)
+        gone = {j for k in range(len(w) - 12) if first[tuple(w[k:k + 13])] < i for j in range(k, k + 13)}
+        expected[i] = (len(w), len(gone), hashlib.sha256(
+            b" ".join(x for j, x in enumerate(w) if j not in gone)).hexdigest())
+    for share in (substring.HOT_SHARE, 10**9):  # also with every minimizer spread
+        before, places = substring.HOT_SHARE, substring.SHARD_PLACES
+        substring.HOT_SHARE = share
+        substring.SHARD_PLACES = 40 if share == before else 1
+        try:
+            got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"])
+                   for r in rows(substring._cut(df, shown=False))}
+        finally:
+            substring.HOT_SHARE, substring.SHARD_PLACES = before, places
+        assert got == expected
+    cut = substring.cut_repeats(documents)
+    assert cut.columns == documents.columns
+    kept = {r["doc_id"]: r["text"] for r in rows(cut)}
+    assert 1 not in kept and kept[0] is not None and kept[4] == "tail words here" and 5 in kept
+    assert kept[None] == "row without an id"
+    assert substring.cut_repeats(no_documents).count() == 0
+
+
+# ---- 10: language -----------------------------------------------------------
+
+def test_language_held_out_accuracy(spark):
+    from carestar.llm.langid import identify
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = rows(identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out"))
+    assert sum(r["lang"] == r["lang_pred"] for r in got) / len(got) >= 0.98
+
+
+def test_language_edges(spark, documents, no_documents):
+    from carestar.llm.langid import identify, keep_identified
+    got = {r["doc_id"]: r for r in rows(identify(documents))}
+    for i in (5, 6, 7, 14):
+        assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+    assert got[0]["lang_pred"] in ("en", "fr", "de") and 0 < got[0]["score"] <= 1
+    kept = keep_identified(documents)
+    assert kept.columns == documents.columns
+    assert {r["doc_id"] for r in rows(kept)}.isdisjoint({5, 6, 7, 14})
+    assert identify(no_documents).count() == 0 and keep_identified(no_documents).count() == 0
+
+
+def test_gru_gradients():
+    from carestar.llm import langid
+    rng = np.random.default_rng(1)
+    shape = {"embed": (256, langid.EMBED)}
+    for s in "fb":
+        shape |= {s + "x": (langid.EMBED, 3 * langid.HIDDEN), s + "h": (langid.HIDDEN, 3 * langid.HIDDEN),
+                  s + "b": (3 * langid.HIDDEN,)}
+    shape |= {"of": (langid.HIDDEN, 3), "ob": (langid.HIDDEN, 3), "o": (3,)}
+    p = {k: rng.normal(0, 0.3, s) for k, s in shape.items()}
+    codes, n, owner = langid.segments(pa.array([b"abc", b"zebra", b"q"], pa.large_binary()))
+    codes = codes[:, :5]
+    y = np.array([0, 1, 2])[owner]
+    mask = np.arange(5)[None, :] < n[:, None]
+
+    def loss(q):
+        logp = langid._label(q, codes, n)
+        return -(logp[np.arange(3), :, y] * mask).sum()
+
+    logp, f, b, back, at, sf, sb = langid._label(p, codes, n, keep=True)
+    g = np.exp(logp)
+    g[np.arange(3)[:, None], np.arange(5)[None, :], y[:, None]] -= 1
+    g *= mask[:, :, None]
+    grads = {k: np.zeros_like(v) for k, v in p.items()}
+    turned = np.zeros((3, 5, langid.HIDDEN))
+    np.add.at(turned, (np.arange(3)[:, None], at), g @ p["ob"].T)
+    langid._backward(p, "f", codes, sf, g @ p["of"].T, grads)
+    langid._backward(p, "b", back, sb, turned, grads)
+    for k in ("fx", "fh", "fb", "bx", "bh", "bb", "embed"):
+        i = tuple(rng.integers(0, s) for s in p[k].shape) if k != "embed" else (ord("b"), 3)
+        q = {**p, k: p[k].copy()}
+        q[k][i] += 1e-6
+        assert (loss(q) - loss(p)) / 1e-6 == pytest.approx(grads[k][i], abs=1e-4)
+
+
+# ---- pipeline ---------------------------------------------------------------
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    import corpus_pipeline
+    docs = read(spark, "documents")
+    frames = []
+    cur = docs
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, cur, SF)
+        out.write.parquet(str(tmp_path / str(i)))
+        cur = spark.read.parquet(str(tmp_path / str(i)))
+        frames.append(cur)
+        if i < 4:
+            assert cur.columns == docs.columns
+    start = {r["doc_id"]: r["text"] for r in rows(docs)}
+    named = {r["doc_id"]: r["text"] for r in rows(frames[0])}
+    assert named == {i: t for i, t in start.items() if re.search(r"[^\W\d_]", t)}
+    one = {r["doc_id"]: r["text"] for r in rows(frames[1])}
+    comp = brute_components(list(named.items()))
+    assert one == {i: t for i, t in named.items() if comp[i][1] == i or not comp[i][0]}
+    first, cut = {}, {}
+    for i in sorted(one):
+        w = words(one[i])
+        gone = set()
+        for k in range(len(w) - 12):
+            if first.setdefault(tuple(w[k:k + 13]), i) < i:
+                gone.update(range(k, k + 13))
+        if not gone:
+            cut[i] = one[i]
+        elif len(gone) < len(w):
+            cut[i] = b" ".join(x for j, x in enumerate(w) if j not in gone).decode()
+    assert {r["doc_id"]: r["text"] for r in rows(frames[2])} == cut
+    mixed = rows(frames[3])
+    total = sum(len(words(t)) for t in cut.values())
+    assert abs(sum(len(words(r["text"])) for r in mixed) - 1.5 * total) <= 30
+    assert set(r["doc_id"] for r in mixed) <= set(cut)
+    done = rows(frames[4])
+    assert Counter(r["decoded_sha256"] for r in done) == Counter(
+        hashlib.sha256(r["text"].encode()).hexdigest() for r in mixed)
+    assert corpus_pipeline.run(spark, SF).count() == len(done)
+
+
+def test_queries_with_sql(spark):
+    import duckdb
+    from carestar.llm.registry import ORACLE, QUERIES
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for name, sql in ORACLE.items():
+        df = QUERIES[name](spark, SF)
+        cur = con.execute(sql)
+        cols = [c[0] for c in cur.description]
+        assert sorted(cols) == sorted(df.columns)
+        assert sorted(map(tuple, df.select(*cols).collect())) == sorted(cur.fetchall())
