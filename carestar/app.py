@@ -44,7 +44,10 @@ def build_from_csv(spark: SparkSession, csv_dir: str, out_dir: str,
     from carestar.plans.star import build_star
 
     landing = posixpath.join(out_dir, "ingested")
-    ingest.ingest_raw(spark, csv_dir, landing, extra).collect()  # row counts (small)
+    ingest.ingest_raw(spark, csv_dir, landing, extra)
+    # Rows with a field that did not parse, or with too many or too few fields.
+    sinks.write_parquet(ingest.rejected_counts(spark, landing),
+                        posixpath.join(out_dir, "reports", "rejected_rows"))
     raw = ingest.load_raw(spark, landing, profile)
     raw, rows = write_raw(raw, posixpath.join(out_dir, "warehouse"))
     return write_star(build_star(raw), posixpath.join(out_dir, "warehouse"), rows)

@@ -42,16 +42,27 @@ def out_money(x) -> Column:
     return _c(x).cast("double")
 
 
+def _half_up_ratio(num, den, factor: int, places: int) -> Column:
+    """factor * num / den rounded half-up once, in whole numbers: inputs of
+    up to four decimal places, NULL when den = 0."""
+    def whole(x):
+        return (_c(x).cast("decimal(38,4)") * F.lit(10_000)).cast("decimal(38,0)")
+
+    n, d = whole(num), whole(den)
+    unit = 10 ** places
+    doubled = F.abs(n) * F.lit(2 * factor * unit) + F.abs(d)
+    units = F.call_function("div", doubled, F.nullif(F.abs(d) * F.lit(2), F.lit(0)))
+    return units * F.signum(n.cast("double")) * F.signum(d.cast("double")) / F.lit(float(unit))
+
+
 def avg_money(total, n, places: int = 2) -> Column:
     """Exact average of a decimal sum over a count, rounded half-up once."""
-    return F.round(_c(total) / F.nullif(_c(n).cast("decimal(20,0)"), F.lit(0)), places).cast("double")
+    return _half_up_ratio(total, n, 1, places)
 
 
 def pct(num, den, places: int = 1) -> Column:
-    """100 * num / den, exact, NULL when den = 0, rounded half-up."""
-    num_d = _c(num).cast("decimal(38,2)") if places >= 0 else _c(num)
-    den_d = _c(den).cast("decimal(38,2)")
-    return F.round(num_d * F.lit(100) / F.nullif(den_d, F.lit(0)), places).cast("double")
+    """100 * num / den, NULL when den = 0, rounded half-up once."""
+    return _half_up_ratio(num, den, 100, places)
 
 
 def ratio_pct(part, whole, places: int = 1) -> Column:

@@ -30,5 +30,5 @@ def contains_ci(col: str, term: str) -> Column:
 def in_cohort(df: DataFrame, key: str, cohort: DataFrame, cohort_key: str) -> DataFrame:
     """Rows whose key belongs to a cohort (a semi join; the cohort is not
     collected anywhere, and AQE broadcasts it only when it is measured small)."""
-    c = cohort.select(F.col(cohort_key).alias(key)).filter(F.col(key).isNotNull())
+    c = cohort.select(F.col(cohort_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
     return df.join(c, key, "left_semi")

@@ -107,6 +107,7 @@ def read_bi_parquet(spark: SparkSession, path: str, like: DataFrame) -> DataFram
 
 def read_bi_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return (spark.read.schema(like.schema).option("header", True)
+            .option("escape", '"').option("multiLine", True)
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").csv(path))
 
 

@@ -171,17 +171,22 @@ def dashboard_document(star: Star) -> DataFrame:
 
 # ---- slicer and search domains (long form: dimension, position, value) ----
 
-def _domain(name: str, df: DataFrame, col: str, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy().orderBy(*order)
-    return df.select(F.lit(name).alias("dimension"),
-                     F.row_number().over(w).cast("long").alias("position"),
-                     F.col(col).cast("string").alias("value"))
+def _domain(name: str, df: DataFrame, col: str, count: Column | None = None) -> DataFrame:
+    return df.select(F.lit(name).alias("dimension"), F.col(col).cast("string").alias("value"),
+                     (F.lit(0).cast("long") if count is None else -count).alias("_rank"))
+
+
+def _numbered(parts: list[DataFrame]) -> DataFrame:
+    """Positions inside each dimension (a task per dimension, not one)."""
+    w = Window.partitionBy("dimension").orderBy("_rank", "value")
+    return reduce(DataFrame.unionByName, parts).select(
+        "dimension", F.row_number().over(w).cast("long").alias("position"), "value")
 
 
 def _distinct_sorted(name: str, df: DataFrame, col: str,
                      extra: Column | None = None) -> DataFrame:
     d = df.select(col).filter(F.col(col).isNotNull() if extra is None else extra).distinct()
-    return _domain(name, d, col, [F.col(col).asc()])
+    return _domain(name, d, col)
 
 
 def _top_by_count(name: str, df: DataFrame, col: str, k: int | None,
@@ -190,7 +195,7 @@ def _top_by_count(name: str, df: DataFrame, col: str, k: int | None,
     agg = df.filter(cond).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     if k is not None:
         agg = top_k(agg, k, "-_c", col)
-    return _domain(name, agg, col, [F.col("_c").desc(), F.col(col).asc()])
+    return _domain(name, agg, col, F.col("_c"))
 
 
 def _not_blank(col: str) -> Column:
@@ -198,10 +203,11 @@ def _not_blank(col: str) -> Column:
 
 
 def _covered_years(star: Star) -> DataFrame:
-    """Encounter years the date dimension covers (the reference keeps
-    ``year >= 2010``, its spine start).  Both sides are distinct years."""
-    fy = star.fact_encounter.select("year").distinct()
-    return fy.join(star.dim_date.select("year").distinct(), "year", "left_semi")
+    """Encounter years from the spine's first year on (a lower bound only;
+    without a fixed spine start, all)."""
+    years = star.fact_encounter.select("year").distinct()
+    start = star.raw.profile.spine_start
+    return years if start is None else years.filter(F.col("year") >= start.year)
 
 
 def frequent_drug_classes(star: Star, min_fills: int = 100, k: int = 30) -> DataFrame:
@@ -223,8 +229,7 @@ def slicer_domains(star: Star) -> DataFrame:
         _distinct_sorted("states", dp, "patient_state"),
         _distinct_sorted("age_bands", dp, "age_band"),
         _distinct_sorted("encounter_classes", fe, "encounter_class"),
-        _domain("drug_classes", frequent_drug_classes(star), "drug_class",
-                [F.col("fill_count").desc(), F.col("drug_class").asc()]),
+        _domain("drug_classes", frequent_drug_classes(star), "drug_class", F.col("fill_count")),
         _top_by_count("encounter_descs", fe, "encounter_description", 50),
         _distinct_sorted("years", years, "year"),
         _top_by_count("cities", dpr, "CITY", 30, _not_blank("CITY")),
@@ -233,7 +238,7 @@ def slicer_domains(star: Star) -> DataFrame:
         _distinct_sorted("races", dp, "RACE"),
         _distinct_sorted("ethnicity", dp, "ETHNICITY"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _numbered(parts)
 
 
 def search_domains(star: Star) -> DataFrame:
@@ -253,7 +258,7 @@ def search_domains(star: Star) -> DataFrame:
         _distinct_sorted("genders", dp, "GENDER"),
         _distinct_sorted("ethnicity", dp, "ETHNICITY"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _numbered(parts)
 
 
 # ---- pages described by the report (L50-L52) ----
@@ -275,14 +280,12 @@ def payer_covered_vs_uncovered(star: Star) -> DataFrame:
 
 
 def patient_distribution(star: Star) -> DataFrame:
-    """Patients by gender, race, state and age band (long form)."""
-    dp = star.dim_patient
-    parts = [dp.groupBy(F.col(c).cast("string").alias("value"))
-             .agg(F.count(F.lit(1)).alias("patients"))
-             .select(F.lit(name).alias("dimension"), "value", "patients")
-             for name, c in (("gender", "GENDER"), ("race", "RACE"),
-                             ("state", "patient_state"), ("age_band", "age_band"))]
-    return reduce(DataFrame.unionByName, parts)
+    """Patients by gender, race, state and age band (long form), one scan."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(c).cast("string").alias("value"))
+                      for name, c in (("gender", "GENDER"), ("race", "RACE"),
+                                      ("state", "patient_state"), ("age_band", "age_band"))])
+    return (star.dim_patient.select(F.explode(pairs).alias("p"))
+            .groupBy("p.dimension", "p.value").agg(F.count(F.lit(1)).alias("patients")))
 
 
 def provider_geography(star: Star) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -102,21 +103,53 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "leaderboard_sliced": filters.leaderboard_sliced,
 }
 
+# Reports without a limit come back in the report's order, ties broken by
+# what makes their rows unique ("-": descending).
+ORDERED = {
+    "table_row_counts": ("-row_count", "table_name"),
+    "payer_coverage_profile": ("-AMOUNT_COVERED", "payer_name"),
+    "dim_diagnosis": ("-occurrence_count", "diagnosis_key", "diagnosis_description"),
+    "star_row_counts": ("tbl",),
+    "monthly_brand_trend": ("drug_description", "yr", "mo"),
+    "monthly_brand_trend_calendar": ("drug_description", "yr", "mo"),
+    "payer_coverage_rate": ("-total_drug_cost", "payer_name"),
+    "nonpositive_cost_by_class": ("-zero_or_neg_cost_count", "encounter_class"),
+    "age_band_distribution": ("age_band",),
+    "monthly_trend": ("year", "month"),
+}
+
+
+def _ordered(job: Callable[[Star], DataFrame], keys: tuple[str, ...]):
+    def run(s: Star) -> DataFrame:
+        df = job(s)
+        return df.orderBy(*[F.col(k[1:]).desc_nulls_last() if k[0] == "-" else F.col(k).asc_nulls_last()
+                            for k in keys])
+    run.__name__ = getattr(job, "__name__", "job")
+    return run
+
+
+JOBS.update({name: _ordered(JOBS[name], keys) for name, keys in ORDERED.items()})
+
+
+def _fresh(spark, sf_dir: str, name: str) -> str:
+    """A new folder per call: an earlier lazy result keeps its files."""
+    from carestar.sources.warehouse import work_dir
+    return work_dir(spark, sf_dir, f"{name}-{uuid.uuid4().hex}")
+
+
 # Jobs that write files and return what they read back: (spark, sf_dir, star).
 SINK_JOBS: dict[str, Callable] = {}
 
 
 def _export_bi_parquet(spark, sf_dir, s: Star) -> DataFrame:
     """L26 round trip: Parquet export of the encounter BI table, read back."""
-    from carestar.sources.warehouse import work_dir
-    paths = bi.export_bi(s, work_dir(spark, sf_dir, "exports"), formats=("parquet",))
+    paths = bi.export_bi(s, _fresh(spark, sf_dir, "exports"), formats=("parquet",))
     return bi.read_bi_parquet(spark, paths["bi_encounter.parquet"], bi.bi_encounter(s))
 
 
 def _export_bi_csv(spark, sf_dir, s: Star) -> DataFrame:
     """L26 round trip: CSV export of the medication BI table, read back."""
-    from carestar.sources.warehouse import work_dir
-    paths = bi.export_bi(s, work_dir(spark, sf_dir, "exports_csv"), formats=("csv",))
+    paths = bi.export_bi(s, _fresh(spark, sf_dir, "exports_csv"), formats=("csv",))
     return bi.read_bi_csv(spark, paths["bi_medication.csv"], bi.bi_medication(s))
 
 
@@ -137,10 +170,9 @@ def _ingest_roundtrip(spark, sf_dir, s: Star) -> DataFrame:
     """L0 round trip: the raw tables written in the claims CSV layout, then
     ingested back with explicit schemas; row count per table."""
     from carestar.sources.ingest import export_raw_csv, ingest_raw
-    from carestar.sources.warehouse import work_dir
-    csv_dir = work_dir(spark, sf_dir, "csv")
+    csv_dir = _fresh(spark, sf_dir, "csv")
     export_raw_csv(s.raw, csv_dir)
-    return ingest_raw(spark, csv_dir, work_dir(spark, sf_dir, "ingested"))
+    return ingest_raw(spark, csv_dir, _fresh(spark, sf_dir, "ingested"))
 
 
 SINK_JOBS["ingest_roundtrip"] = _ingest_roundtrip

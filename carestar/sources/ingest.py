@@ -21,6 +21,7 @@ from carestar.sources.concurrent import run_concurrently
 from carestar.sources.tables import RAW_NAMES, RawTables
 
 CORRUPT = "_corrupt_record"
+MALFORMED = "_malformed"
 
 
 def typed_by_name(text: DataFrame, schema: StructType) -> DataFrame:
@@ -42,6 +43,8 @@ def typed_by_name(text: DataFrame, schema: StructType) -> DataFrame:
         cols.append(typed.alias(f.name))
         failed.append(F.when(src.isNotNull() & (F.trim(src) != "") & typed.isNull(),
                              F.lit(f.name)))
+    if MALFORMED in present:
+        failed.append(F.when(F.col(MALFORMED).isNotNull(), F.lit("<fields>")))
     bad = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
     return text.select(*cols, F.when(F.size(bad) > 0, F.array_join(bad, ",")).alias(CORRUPT))
 
@@ -49,31 +52,44 @@ def typed_by_name(text: DataFrame, schema: StructType) -> DataFrame:
 def read_claims_csv(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
     """Read a claims CSV by header name (files carry more columns than the
     jobs read, in their own order): every column as text, then typed by name."""
-    text = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    # Quotes inside a field are doubled, fields may span lines, a file of a
+    # folder whose header differs fails, and rows with too many or too few
+    # fields are marked.
+    columns = text_schema(spark, path)
+    text = (spark.read.schema(columns.add(MALFORMED, StringType())).option("header", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+            .option("escape", '"').option("multiLine", True).option("enforceSchema", False)
+            .csv(path))
     if schema is None:
-        return text  # counted-only table: every column as text
+        return text.drop(MALFORMED)  # counted-only table: every column as text
     return typed_by_name(text, schema)
 
 
 def text_schema(spark: SparkSession, path: str) -> StructType:
     """All-text schema in the order of the file header (reads the header only)."""
-    header = spark.read.option("header", True).csv(path).columns
+    header = (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+              .csv(path).columns)
     return StructType([StructField(c, StringType(), True) for c in header])
 
 
 def ingest_raw(spark: SparkSession, csv_dir: str, out_dir: str,
-               extra: dict[str, str] | None = None) -> DataFrame:
+               extra: dict[str, str] | None = None, partial: bool = False) -> DataFrame:
     """Read ``<csv_dir>/<table>.csv`` for every claims table and every
     counted-only table present, write each as Parquet under ``out_dir``
     (overwrite: re-runs are idempotent) and return the row count per table.
 
     ``extra`` maps more table names to CSV paths (e.g. the CDC overdose
-    file), read with every column as text."""
+    file), read with every column as text.  A missing claims table or
+    extra file raises, unless ``partial`` says that some may be absent."""
 
     tables = [(n, posixpath.join(csv_dir, f"{n}.csv"), schemas.CLAIMS[n]) for n in RAW_NAMES]
     tables += [(n, posixpath.join(csv_dir, f"{n}.csv"), None) for n in schemas.COUNTED_ONLY]
     tables += [(n, p, None) for n, p in (extra or {}).items()]
     present = [t for t in tables if _exists(spark, t[1])]
+    needed = {*RAW_NAMES, *(extra or {})}
+    missing = sorted(needed - {t[0] for t in present})
+    if missing and not partial:
+        raise FileNotFoundError(f"no CSV file for {', '.join(missing)}")
 
     def one(t):
         name, path, schema = t
@@ -105,6 +121,16 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(CORRUPT).isNotNull())
 
 
+def rejected_counts(spark: SparkSession, parquet_dir: str) -> DataFrame:
+    """Rows per ingested claims table that carry a mark, and all rows."""
+    from functools import reduce
+
+    parts = [spark.read.parquet(posixpath.join(parquet_dir, n))
+             .agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("rejected"), F.count("*").alias("rows"))
+             .select(F.lit(n).alias("table_name"), "rejected", "rows") for n in RAW_NAMES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -120,7 +146,7 @@ def export_raw_csv(raw: RawTables, csv_dir: str) -> None:
         df = raw.get(name)
         cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
                 .alias(f.name) for f in schema.fields]
-        (df.select(*cols).write.mode("overwrite").option("header", True)
+        (df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"')
          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
          .option("dateFormat", "yyyy-MM-dd").csv(posixpath.join(csv_dir, f"{name}.csv")))
 

@@ -8,24 +8,26 @@ from pyspark.sql import functions as F
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None = None) -> None:
     """Overwrite a Parquet table (idempotent re-runs, Q1b)."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         # rebalance: partition-clustered files of a reasonable size (AQE splits hot values)
-        w = df.hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols)
+        w = (df.hint("rebalance", *cols).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy(*cols))
     w.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header + comma CSV, one file per task (no single-writer funnel)."""
     (df.write.mode("overwrite").option("header", True).option("delimiter", ",")
+     .option("escape", '"')  # quotes inside a field are doubled
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss")
      .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
 def write_gzip_json(df: DataFrame, path: str) -> None:
-    """JSON Lines, gzip-compressed, NULL fields omitted like the short-key export."""
-    (df.write.mode("overwrite").option("compression", "gzip")
+    """JSON Lines, gzip-compressed; NULL fields are written as ``null``."""
+    (df.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", "false")
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(path))
 
 

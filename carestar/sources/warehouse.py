@@ -14,7 +14,6 @@ process re-attaches to a completed build instead of writing it again.
 from __future__ import annotations
 
 import hashlib
-import os
 import posixpath
 import threading
 
@@ -40,14 +39,16 @@ _CACHE: dict[tuple, Star] = {}
 
 
 def _write(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    w = df.write.mode("overwrite")
+    # static: a re-run leaves no partition of an earlier run behind
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         # Cluster rows by the partition column before writing: without it
         # every write task emits one file per year it holds (tasks x years
         # small files).  REBALANCE lets AQE split a hot year over several
         # tasks and coalesce small ones, so files come out near the
         # advisory partition size.
-        w = df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col)
+        w = (df.hint("rebalance", partition_col).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy(partition_col))
     w.parquet(path)
 
 
@@ -94,15 +95,20 @@ def write_star(star: Star, root: str, raw_rows: dict[str, int] | None = None) ->
     return Star(raw=star.raw, dim_rows=rows, **tables)
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.realpath(sf_dir).encode())
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Path, lengths and modification times of the input, taken from the
+    file system that Spark reads (local or remote)."""
+    h = hashlib.sha1(sf_dir.encode())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for t in sorted(testdata.TABLES):
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
             h.update(t.encode())
+            continue
+        for st in sorted((x.getPath().toString(), x.getLen(), x.getModificationTime())
+                         for x in fs.listStatus(p)):
+            h.update(f"{t}:{st}".encode())
     return h.hexdigest()[:16]
 
 
@@ -147,19 +153,19 @@ def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star
     from carestar.plans.star import build_star
 
     apply_job_conf(spark)
-    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), materialize)
+    mark = _fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, mark, materialize)
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]
         if materialize:
             ckpt = ensure_checkpoint_dir(spark)
-            done = (os.path.realpath(sf_dir), _fingerprint(sf_dir), ckpt)
+            done = (sf_dir, mark, ckpt)
             if done in _BUILT:
                 root, raw_rows, dim_rows = _BUILT[done]
                 star = attach(spark, root, raw_rows, dim_rows)
             else:
-                root = posixpath.join(ckpt, "carestar", spark.sparkContext.applicationId,
-                                      _fingerprint(sf_dir))
+                root = posixpath.join(ckpt, "carestar", spark.sparkContext.applicationId, mark)
                 raw, raw_rows = write_raw(testdata.load(spark, sf_dir), root)
                 star = write_star(build_star(raw), root, raw_rows)
                 _BUILT[done] = (root, raw_rows, dict(star.dim_rows))
@@ -172,7 +178,7 @@ def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star
 def work_dir(spark: SparkSession, sf_dir: str, *parts: str) -> str:
     """A folder for job outputs (exports, documents) next to the star."""
     return posixpath.join(ensure_checkpoint_dir(spark), "carestar",
-                          spark.sparkContext.applicationId, _fingerprint(sf_dir), *parts)
+                          spark.sparkContext.applicationId, _fingerprint(spark, sf_dir), *parts)
 
 
 def raw_for(spark: SparkSession, sf_dir: str) -> RawTables:

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from carestar.session import ensure_checkpoint_dir
-from carestar.sources.ingest import text_schema, typed_by_name
+from carestar.sources.ingest import _exists, text_schema, typed_by_name
 
 
 def ingest_new_files(spark: SparkSession, csv_dir: str, schema: StructType, out_dir: str,
@@ -21,13 +21,13 @@ def ingest_new_files(spark: SparkSession, csv_dir: str, schema: StructType, out_
     # files already there; later drops share the export format), then typed
     # by column name like the batch ingest.
     text = (spark.readStream.schema(text_schema(spark, csv_dir)).option("header", True)
+            .option("escape", '"').option("multiLine", True).option("enforceSchema", False)
             .option("maxFilesPerTrigger", max_files_per_trigger).csv(csv_dir))
     stream = typed_by_name(text, schema)
+    before = spark.read.parquet(out_dir).count() if _exists(spark, out_dir) else 0
     q = (stream.writeStream.format("parquet").option("path", out_dir)
          .option("checkpointLocation", ckpt).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    rows = 0
-    for p in q.recentProgress:
-        rows += int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows)
-    return rows
+    after = spark.read.parquet(out_dir).count() if _exists(spark, out_dir) else 0
+    return after - before  # progress reports keep the last batches only
