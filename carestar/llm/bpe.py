@@ -5,11 +5,16 @@ determinised lazily.  A BPE encoding is the one token sequence of a byte
 string in which every adjacent pair encodes to itself, so the last token of
 every prefix follows from shorter prefixes.  After some bytes, only the
 positions from which a vocabulary entry may still run on (the trie says
-which) can be future token borders; a state is those positions with their
-trie node, last token and the tokens not agreed on yet.  Whatever all of
-them agree on is emitted, so the lookahead is bounded by the longest
-vocabulary entry.  States and transitions are made when first met, kept,
-and dropped together when they exceed a bound (a cache, not a limit).
+which) can be future token borders; a state is those positions, each with
+its trie node and last token.  Reading a byte gives the next state and the
+last token of the prefix so far.  The tokens on which the ways back from
+all these positions agree are emitted, so the lookahead is bounded by the
+longest vocabulary entry.  States and transitions are made when first met,
+kept, and dropped together when they exceed a bound (a cache, not a limit).
+
+Two merges of adjacent entries never cross: an entry's outer parts and the
+ranks at which each is merged away tell whether a pair would have merged
+over its border first.
 
 Decoding looks the ids up and feeds the bytes through an incremental UTF-8
 state machine that carries an unfinished character over to the next chunk.
@@ -23,7 +28,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from itertools import islice
+import re
+from itertools import chain, islice
 
 import pyarrow as pa
 import public_tokenizers
@@ -34,9 +40,16 @@ from carestar.llm.common import pick, read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-MAX_STATES = 150_000   # of the lazy transducer, then it starts afresh
-MAX_PIECES = 200_000   # of the memo of whole pieces, then it starts afresh
+MAX_STATES = 400_000   # of the lazy transducer, then it starts afresh
+MAX_MEMO = 250_000     # entries in each of a memo's two generations
 RUN = 65_536           # pieces encoded between two digest updates
+STRETCH = 1 << 19      # characters split into words at a time
+SETTLE = 4_096         # bytes of one piece between two emissions
+NEVER = 1 << 60
+
+# A match of PATTERN never runs over a space that stands before a character
+# other than white space, and such a space begins a match.
+BORDER = re.compile(r" (?=\S)")
 
 
 class Transducer:
@@ -45,86 +58,117 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.length = {i: len(b) for b, i in ranks.items()}
         self.trie: dict[int, int] = {}
         self.token_at: dict[int, int] = {}
-        nodes = 1
+        self.depth = [0]
         for word, token in ranks.items():
             at = 0
             for byte in word:
                 key = at << 8 | byte
                 nxt = self.trie.get(key)
                 if nxt is None:
-                    nxt = self.trie[key] = nodes
-                    nodes += 1
+                    nxt = self.trie[key] = len(self.depth)
+                    self.depth.append(self.depth[at] + 1)
                 at = nxt
             self.token_at[at] = token
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.stands: dict[int, bool] = {}
+        self.sides: dict[int, tuple | None] = {}
+        self.pairs: dict[int, bool] = {}
         self._fresh()
 
     def _fresh(self) -> None:
-        start = ((0, -1, ()),)
+        start = ((0, -1),)
         self.states = [start]
         self.number = {start: 0}
-        self.delta: dict[int, tuple[int, tuple[int, ...]]] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """The merges applied by rank: what defines a valid pair (short input)."""
+        self.delta: dict[int, tuple[int, int]] = {}
+
+    def outer_parts(self, token: int) -> tuple | None:
+        """(first parts, last parts) the entry has while it is merged from
+        its bytes: (part, rank of the merge that takes it away).  None: the
+        merges never yield the entry."""
+        known = self.sides.get(token, False)
+        if known is not False:
+            return known
+        ranks, data = self.ranks, self.bytes_of[token]
         parts = [data[i:i + 1] for i in range(len(data))]
-        ranks = self.ranks
+        firsts, lasts = [], []
         while len(parts) > 1:
-            best, where = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, where = rank, i
-            if best is None:
-                break
+            best, where = min((ranks.get(parts[i] + parts[i + 1], NEVER), i)
+                              for i in range(len(parts) - 1))
+            if best == NEVER:
+                self.sides[token] = None
+                return None
+            if where == 0:
+                firsts.append((parts[0], best))
+            if where == len(parts) - 2:
+                lasts.append((parts[-1], best))
             parts[where:where + 2] = [parts[where] + parts[where + 1]]
-        return [ranks[p] for p in parts]
+        firsts.append((data, NEVER))
+        lasts.append((data, NEVER))
+        self.sides[token] = (firsts, lasts)
+        return self.sides[token]
 
     def follows(self, left: int, right: int) -> bool:
-        """May ``right`` stand after ``left`` (-1: at the start)?"""
+        """May ``right`` stand after ``left`` (-1: at the start)?
+
+        Merges go by rank, then from the left.  A merge over the border
+        comes first if its rank is below the one that takes the left part
+        away and not above the one that takes the right part away.
+        """
         if left < 0:
-            known = self.stands.get(right)
-            if known is None:
-                known = self.stands[right] = self.merged(self.bytes_of[right]) == [right]
-            return known
-        known = self.pairs.get((left, right))
+            return self.outer_parts(right) is not None
+        key = left << 32 | right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > 2_000_000:
                 self.pairs.clear()
-            known = self.follows(-1, right) and \
-                self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-            self.pairs[left, right] = known
+            own, other = self.outer_parts(left), self.outer_parts(right)
+            known = own is not None and other is not None and not any(
+                self.ranks.get(x + y, NEVER) < until and self.ranks[x + y] <= till
+                for x, until in own[1] for y, till in other[0])
+            self.pairs[key] = known
         return known
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Determinise one transition: next state and the tokens agreed on."""
-        alive, newest = [], None
-        for node, last, pending in self.states[state]:
+    def step(self, state: int, byte: int) -> tuple[int, int]:
+        """Determinise one transition: next state (times 256, as the key of a
+        transition begins), last token of the prefix."""
+        alive, newest = [], -1
+        for node, last in self.states[state]:
             nxt = self.trie.get(node << 8 | byte)
             if nxt is None:
                 continue
-            alive.append((nxt, last, pending))
-            if newest is None:
+            alive.append((nxt, last))
+            if newest < 0:
                 token = self.token_at.get(nxt)
                 if token is not None and self.follows(last, token):
-                    newest = (0, token, pending + (token,))
-        alive.append(newest)
-        agreed = 0
-        shortest = min(len(p) for _, _, p in alive)
-        first = alive[0][2]
-        while agreed < shortest and all(p[agreed] == first[agreed] for _, _, p in alive):
-            agreed += 1
-        key = tuple((n, t, p[agreed:]) for n, t, p in alive)
+                    newest = token
+        alive.append((0, newest))
+        key = tuple(alive)
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
             self.states.append(key)
-        out = self.delta[state << 8 | byte] = (number, first[:agreed])
+        out = self.delta[state << 8 | byte] = (number << 8, newest)
+        return out
+
+    def _way_back(self, ends: list[int], at: int) -> list[int]:
+        """The tokens up to border ``at``, last first."""
+        out = []
+        while at > 0:
+            out.append(ends[at - 1])
+            at -= self.length[ends[at - 1]]
         return out
 
+    def _settle(self, ends: list[int], state: int) -> tuple[list[int], int]:
+        """(tokens on which all live positions agree, where they end)."""
+        ways = [self._way_back(ends, len(ends) - self.depth[node])[::-1]
+                for node, _ in self.states[state]]
+        agreed = 0
+        while all(len(w) > agreed and w[agreed] == ways[0][agreed] for w in ways):
+            agreed += 1
+        out = ways[0][:agreed]
+        return out, sum(self.length[t] for t in out)
+
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of one piece."""
         whole = self.ranks.get(piece)
@@ -133,16 +177,17 @@ class Transducer:
         if len(self.states) > MAX_STATES:
             self._fresh()
         out: list[int] = []
-        state, delta = 0, self.delta
-        for byte in piece:
-            move = delta.get(state << 8 | byte)
-            if move is None:
-                move = self.step(state, byte)
-            state, emitted = move
-            if emitted:
-                out.extend(emitted)
-        out.extend(self.states[state][-1][2])
-        return out
+        ends: list[int] = []  # last token of every prefix from the last emission on
+        state, get = 0, self.delta.get
+        for at in range(0, len(piece), SETTLE):
+            if at:
+                done, to = self._settle(ends, state >> 8)
+                out += done
+                del ends[:to]
+            for byte in piece[at:at + SETTLE]:
+                state, token = get(state | byte) or self.step(state >> 8, byte)
+                ends.append(token)
+        return out + self._way_back(ends, len(ends))[::-1]
 
 
 class Utf8Stream:
@@ -170,6 +215,23 @@ class Utf8Stream:
         return rest.decode("utf-8", errors="replace")
 
 
+class Memo(dict):
+    """A bounded cache: what was not met for a generation goes."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str):
+        known = self.older.get(key) or self.make(key)
+        if len(key) <= 64:
+            if len(self) >= MAX_MEMO:
+                self.older = dict(self)
+                self.clear()
+            self[key] = known
+        return known
+
+
 class Codec:
     """Text to ids and back with one vocabulary file."""
 
@@ -178,30 +240,40 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.machine = Transducer(self.ranks)
         self.split = regex.compile(pattern)
-        self.memo: dict[str, tuple[list[int], str]] = {}
-
-    def piece(self, piece: str) -> tuple[list[int], str]:
-        ids = self.machine.encode(piece.encode("utf-8"))
-        known = (ids, " ".join(map(str, ids)))
-        if len(piece) <= 64:
-            if len(self.memo) >= MAX_PIECES:
-                self.memo.clear()
-            self.memo[piece] = known
-        return known
+        self.by_word = pattern == PATTERN
+        # (ids, their decimal text) of a piece, and of a word after a space.
+        self.pieces = Memo(self._piece)
+        self.words = Memo(self._word)
+
+    def _piece(self, piece: str) -> tuple[tuple[int, ...], str]:
+        ids = tuple(self.machine.encode(piece.encode("utf-8")))
+        return ids, " ".join(map(str, ids))
+
+    def _word(self, word: str) -> tuple[tuple[int, ...], str]:
+        if word.isascii() and word.isalpha():  # one match, whichever word it is
+            return self._piece(" " + word)
+        known = [self.pieces[p] for p in self.split.findall(" " + word)]
+        return known[0] if len(known) == 1 else (
+            tuple(chain.from_iterable(ids for ids, _ in known)), " ".join([s for _, s in known]))
 
     def runs(self, text: str):
-        """(ids, their decimal text) of successive runs of pieces."""
-        pieces = (m.group() for m in self.split.finditer(text)) if len(text) > 1 << 20 \
-            else iter(self.split.findall(text))
-        memo = self.memo
-        while run := list(islice(pieces, RUN)):
-            ids: list[int] = []
-            shown = []
-            for p in run:
-                known = memo.get(p) or self.piece(p)
-                ids.extend(known[0])
-                shown.append(known[1])
-            yield ids, " ".join(shown)
+        """(ids, their decimal text) of successive bounded runs of the text."""
+        at, lead = 0, ""
+        while at < len(text):
+            cut = BORDER.search(text, at + STRETCH) if self.by_word else None
+            to = cut.start() if cut else len(text)
+            first, *rest = BORDER.split(text[at:to]) if self.by_word else [text]
+            pieces = map(regex.Match.group, self.split.finditer(lead + first))
+            while run := list(islice(pieces, RUN)):
+                yield self._joined([self.pieces[p] for p in run])
+            if rest:
+                yield self._joined([self.words[w] for w in rest])
+            at, lead = to + 1, " "
+
+    @staticmethod
+    def _joined(known) -> tuple[list[int], str]:
+        return (list(chain.from_iterable([ids for ids, _ in known])),
+                " ".join([shown for _, shown in known]))
 
     def encode(self, text: str) -> list[int]:
         return [i for ids, _ in self.runs(text) for i in ids]
