@@ -50,6 +50,7 @@ NEVER = 1 << 60
 # A match of PATTERN never runs over a space that stands before a character
 # other than white space, and such a space begins a match.
 BORDER = re.compile(r" (?=\S)")
+NO_BORDER = re.compile(r" (?!\S)")
 
 
 class Transducer:
@@ -123,12 +124,19 @@ class Transducer:
             if len(self.pairs) > 2_000_000:
                 self.pairs.clear()
             own, other = self.outer_parts(left), self.outer_parts(right)
-            known = own is not None and other is not None and not any(
-                self.ranks.get(x + y, NEVER) < until and self.ranks[x + y] <= till
-                for x, until in own[1] for y, till in other[0])
+            known = own is not None and other is not None and self._apart(own[1], other[0])
             self.pairs[key] = known
         return known
 
+    def _apart(self, lasts: list, firsts: list) -> bool:
+        rank_of = self.ranks.get
+        for x, until in lasts:
+            for y, till in firsts:
+                rank = rank_of(x + y, NEVER)
+                if rank < until and rank <= till:
+                    return False
+        return True
+
     def step(self, state: int, byte: int) -> tuple[int, int]:
         """Determinise one transition: next state (times 256, as the key of a
         transition begins), last token of the prefix."""
@@ -262,7 +270,7 @@ class Codec:
         while at < len(text):
             cut = BORDER.search(text, at + STRETCH) if self.by_word else None
             to = cut.start() if cut else len(text)
-            first, *rest = BORDER.split(text[at:to]) if self.by_word else [text]
+            first, *rest = self._stretch(text[at:to])
             pieces = map(regex.Match.group, self.split.finditer(lead + first))
             while run := list(islice(pieces, RUN)):
                 yield self._joined([self.pieces[p] for p in run])
@@ -270,6 +278,12 @@ class Codec:
                 yield self._joined([self.words[w] for w in rest])
             at, lead = to + 1, " "
 
+    def _stretch(self, text: str) -> list[str]:
+        """The text, split at borders (at every space, if all are borders)."""
+        if not self.by_word:
+            return [text]
+        return BORDER.split(text) if NO_BORDER.search(text) else text.split(" ")
+
     @staticmethod
     def _joined(known) -> tuple[list[int], str]:
         return (list(chain.from_iterable([ids for ids, _ in known])),

@@ -548,3 +548,32 @@ def test_queries_with_sql(spark):
         cols = [c[0] for c in cur.description]
         assert sorted(cols) == sorted(df.columns)
         assert sorted(map(tuple, df.select(*cols).collect())) == sorted(cur.fetchall())
+
+
+def test_bpe_word_borders_and_long_pieces_match_tiktoken(monkeypatch):
+    """Splitting at spaces, emission inside a long piece and full memos
+    change nothing."""
+    import random
+
+    import public_tokenizers as P
+    import tiktoken
+
+    from carestar.llm import bpe
+    monkeypatch.setattr(bpe, "STRETCH", 40)
+    monkeypatch.setattr(bpe, "SETTLE", 64)
+    monkeypatch.setattr(bpe, "MAX_MEMO", 500)
+    monkeypatch.setattr(bpe, "MAX_STATES", 2_000)
+    codec = bpe.Codec()
+    exact = tiktoken.Encoding("exact", pat_str=P.PATTERN, mergeable_ranks=codec.ranks,
+                              special_tokens={})
+    rnd = random.Random(5)
+    parts = ["a", "b", " ", "  ", "\n", " \n", "'s", "é", "日本", "😀", "1", ".", "...", " the",
+             " a", "\x1c", "\x85", "　", "aaaa"]
+    for _ in range(2_000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 120)))
+        ids = codec.encode(text)
+        assert ids == exact.encode_ordinary(text)
+        assert codec.decode(ids) == text
+    letters = "".join(rnd.choice("abcdefgh") for _ in range(3_000))
+    for text in (letters, "a" * 3_000, "ab" * 1_500, "é" * 1_000, " " * 1_000):
+        assert codec.encode(text) == exact.encode_ordinary(text)
