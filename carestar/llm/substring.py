@@ -10,7 +10,9 @@ splits into short segments of windows with one minimizer.  A first pass
 counts the minimizers; only those that two different documents have go on
 (through a bit filter that merely spares work).  Minimizers that hold more
 than 1 / HOT_SHARE of all places - at most HOT_SHARE of them, a short list -
-spread their lookups over SALT shards.
+send each window as a segment of its own, to a shard by the window's words, so
+no shard holds a hot minimizer's windows whole.  Windows that are that frequent
+themselves (at most SPAN * HOT_SHARE) spread their lookups over SALT shards.
 
 Shard: the distinct segments, pre-aggregated in the sending tasks with the
 smallest document that has them, become the text of an FM-index (suffix
@@ -229,13 +231,16 @@ def _unpack(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
-def _segments(words: WordHashes, wanted: np.ndarray):
+def _segments(words: WordHashes, wanted: np.ndarray, hot: np.ndarray):
     """(gram, first window, last window) of the runs of windows with one
-    wanted minimizer, and a hash of each run's words."""
+    wanted minimizer, and a hash of each run's words; every window of a hot
+    minimizer is a run of its own."""
     grams, start, place = minimizers(words)
     if not len(start):
         return (np.zeros(0, np.int64),) * 4
-    new = np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)])
+    alone = np.isin(grams.view(np.int64), hot)[place]
+    new = np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
+                          | alone[1:]])
     at = np.flatnonzero(new)
     last = np.concatenate([at[1:], [len(start)]]) - 1
     gram = grams[place[at]].view(np.int64)
@@ -252,46 +257,68 @@ def _segments(words: WordHashes, wanted: np.ndarray):
     return gram, lo, hi, mix64(sums ^ mix64(length.astype(np.uint64))).view(np.int64)
 
 
+def _hot_shard(seg: np.ndarray, salt, shards: int) -> np.ndarray:
+    return shards + (mix64(seg.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+                           * np.atleast_1d(np.asarray(salt, np.uint64)))
+                     % np.uint64(SPAN * shards)).astype(np.int64)
+
+
+def route(gram, seg, text_id, d, hot, common, shards: int):
+    """Shards of the segments' lookups, and (shards, rows) of the index
+    entries: each distinct segment once, with its smallest document, and a
+    ``common`` window of a hot minimizer once per salt."""
+    is_hot = np.isin(gram, hot)
+    spread = is_hot & np.isin(seg, common)
+    salt = np.where(spread, np.uint64(1) + mix64(text_id.view(np.uint64)) % np.uint64(SALT),
+                    np.uint64(0))
+    own = np.where(is_hot, _hot_shard(seg, salt, shards),
+                   (mix64(gram.view(np.uint64)) % np.uint64(shards)).astype(np.int64))
+    order = np.lexsort((d, seg))
+    entries = order[np.concatenate([[True], seg[order][1:] != seg[order][:-1]])]
+    once, often = entries[~spread[entries]], entries[spread[entries]]
+    to = [own[once], *(_hot_shard(seg[often], k, shards) for k in range(1, SALT + 1))]
+    return own, np.concatenate(to), np.concatenate([once, *[often] * SALT])
+
+
+def _common_windows(docs: DataFrame, wanted, hot: np.ndarray, limit: int) -> np.ndarray:
+    """Hashes of the hot minimizers' windows with more than ``limit`` places."""
+    def run(batches):
+        for batch in batches:
+            for b in slices(batch):
+                gram, _, _, seg = _segments(WordHashes(b.column("text")), wanted.value, hot)
+                seg, n = np.unique(seg[np.isin(gram, hot)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(seg), pa.array(n.astype(np.int64))],
+                                                 names=["seg", "n"])
+
+    found = (_documents(docs).select("text").mapInArrow(run, "seg bigint, n bigint")
+             .groupBy("seg").agg(F.sum("n").alias("n")).where(F.col("n") > limit))
+    return np.array([r["seg"] for r in found.select("seg").collect()], np.int64)
+
+
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(d, text_id, ranges): per text the word ranges [from, to) to cut."""
     spark = docs.sparkSession
     grams = shared_grams(docs)
     totals = grams.agg(F.count("*").alias("n"), F.sum("places").alias("places")).first()
     places = totals["places"] or 0
-    hot = np.sort(np.array([r["gram"] for r in grams.where(
-        F.col("places") > F.lit(max(SHARD_PLACES // 4, places // HOT_SHARE))).collect()], np.int64))
+    limit = max(SHARD_PLACES // 4, places // HOT_SHARE)
+    hot = np.array([r["gram"] for r in grams.where(F.col("places") > limit).collect()], np.int64)
     bits = 1 << max(14, min(22, int((totals["n"] or 1) * 16 // 64).bit_length()))
     wanted = spark.sparkContext.broadcast(bloom(grams, "gram", bits))
     shards = max(1, -(-places // SHARD_PLACES))
+    common = _common_windows(docs, wanted, hot, limit) if len(hot) else hot
 
     def send(batches):
         for batch in batches:
             for b in slices(batch):
                 words = WordHashes(b.column("text"))
-                gram, lo, hi, seg = _segments(words, wanted.value)
+                gram, lo, hi, seg = _segments(words, wanted.value, hot)
                 if not len(gram):
                     continue
                 doc = words.doc[lo]
                 d, text_id = _ids(b)[doc], b.column("text_id").to_numpy()[doc]
                 first = (lo - words.starts[doc]).astype(np.int32)
-                home = (mix64(gram.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
-                is_hot = np.isin(gram, hot)
-                salt = np.where(is_hot, 1 + mix64(text_id.view(np.uint64)) % np.uint64(SALT), 0)
-                own = np.where(is_hot, shards + (mix64(gram.view(np.uint64) + salt.astype(np.uint64))
-                                                 % np.uint64(shards)).astype(np.int64), home)
-                # Index entries: each distinct segment once, its smallest document.
-                order = np.lexsort((d, seg))
-                fresh = np.concatenate([[True], seg[order][1:] != seg[order][:-1]])
-                entries = order[fresh]
-                rows_s, rows_e = [own[entries]], [entries]
-                hot_entries = entries[is_hot[entries]]
-                for k in range(1, SALT + 1):
-                    if len(hot_entries):
-                        rows_s.append(shards + (mix64(gram[hot_entries].view(np.uint64)
-                                                      + np.uint64(k)) % np.uint64(shards))
-                                      .astype(np.int64))
-                        rows_e.append(hot_entries)
-                rows_s, rows_e = np.concatenate(rows_s), np.concatenate(rows_e)
+                own, rows_s, rows_e = route(gram, seg, text_id, d, hot, common, shards)
                 out = {"shard": [], "kind": [], "size": [], "blob": []}
                 raw = words.data
 

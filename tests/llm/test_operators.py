@@ -440,6 +440,35 @@ def test_substring_against_brute_force(spark, documents, no_documents):
     assert substring.cut_repeats(no_documents).count() == 0
 
 
+def test_substring_hot_minimizer_is_split_over_shards():
+    from carestar.llm import substring as sub
+    from carestar.llm.common import WordHashes
+    rng = np.random.default_rng(11)
+    passage = " ".join(f"p{i}" for i in range(14))  # other words after it in every document
+    texts = pa.array([passage + " " + " ".join(f"d{k}x{i}" for i in range(12)) for k in range(600)])
+    w = WordHashes(texts)
+    grams, start, place = sub.minimizers(w)
+    own = grams[place].view(np.int64)
+    value, n = np.unique(own, return_counts=True)
+    hot = value[n >= 600]
+    gram, lo, hi, seg = sub._segments(w, np.full(4, -1, np.int64), hot)  # a filter that lets all by
+    is_hot = np.isin(gram, hot)
+    # Every window of a hot minimizer travels alone.
+    assert len(hot) and is_hot.any() and (hi - lo)[is_hot].max() == sub.WINDOW
+    value, n = np.unique(seg[is_hot], return_counts=True)
+    common = value[n >= 600]
+    shards, text_id = 8, rng.integers(0, 2**62, len(texts))[w.doc[lo]]
+    lookups, to, rows_ = sub.route(gram, seg, text_id, w.doc[lo], hot, common, shards)
+    held = {}
+    for s, r in zip(to.tolist(), rows_.tolist()):
+        if is_hot[r]:
+            held.setdefault(s, set()).add(int(seg[r]))
+    distinct = len(value)
+    assert distinct > 600 and max(map(len, held.values())) < distinct / 8
+    # Every lookup finds its window's entry in its shard.
+    assert all(int(x) in held[int(s)] for s, x in zip(lookups[is_hot], seg[is_hot]))
+
+
 # ---- 10: language -----------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):
