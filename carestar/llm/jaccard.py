@@ -21,9 +21,16 @@ whose sets are in different components so far and whose bit sketches'
 Hamming distance, a lower bound of the difference, does not rule them out.
 Groups are cut into chunk pairs, so none meets in one task whole.
 
+Links: a linked pair lies in one component, so every pair of sets of a
+component is compared exactly, in chunk pairs of bounded size; the tasks
+send each set's number of links, no pairs.  ``n_links`` of a document is the
+number of other rows with an id whose set is linked or equal.
+``linked_pairs`` gives the pairs themselves.
+
 Null text: no words.  Rows without an id link with nothing; their component
 is that of an equal set with an id, else null.  Rows that repeat an id with
-another text take part with each text.  Empty table: no rows.
+another text take part with each text.  Without words: no links.  Empty
+table: no rows.
 """
 
 from __future__ import annotations
@@ -41,6 +48,7 @@ SHINGLE = 5
 NUM, DEN = 4, 5                  # similarity 0.8 as a fraction
 SKETCH_LOAD = 2                  # bits of a set's bit sketch per element, at least
 CHUNK = 2048                     # members of a group compared at a time
+CHUNK_SHINGLES = 1 << 19         # their shingles, about, when links are counted
 MAX_HELD = 2_000_000             # rows of one block held to name its group
 BLOOM_WORDS = 1 << 17            # 64-bit words of the filter for round trips
 
@@ -391,13 +399,123 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     return spread.groupBy("grp", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def join_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, text_id, n_shingles, component_id and ``linked`` (one value
-    per component; null without words) for every row."""
+def _links(values: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool):
+    """(x, linked rows of ``right``) for every x of ``left``, exactly;
+    ``same``: right is left, each pair once."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    _, code, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = times > 1                            # others are in no intersection
+    keep = shared[code]
+    code, row = (np.cumsum(shared) - 1)[code[keep]], row[keep]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(sizes)))])
+    width = -(-int(shared.sum()) // 64)
+    bits = None
+    if len(sizes) * width <= len(values):         # bit sets no larger than the lists
+        bits = np.zeros((len(sizes), 64 * width), bool)
+        bits[row, code] = True
+        bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    mark = np.zeros(int(shared.sum()), bool)
+    for k, x in enumerate(left.tolist()):
+        r = right[k + 1:] if same else right
+        r = r[possible(sizes[r], sizes[x], 0)]
+        if not len(r):
+            continue
+        if bits is not None:
+            both = np.bitwise_count(bits[r] & bits[x]).sum(1, dtype=np.int64)
+        else:
+            own = code[starts[x]:starts[x + 1]]
+            mark[own] = True
+            hits = np.concatenate([[0], np.cumsum(mark[code])])
+            both = hits[starts[r + 1]] - hits[starts[r]]
+            mark[own] = False
+        linked = r[DEN * both >= NUM * (sizes[x] + sizes[r] - both)]
+        if len(linked):
+            yield x, linked
+
+
+def _compared(docs: DataFrame, placed: DataFrame, make, schema: str) -> DataFrame:
+    """``make(table, links)`` tables over all linked pairs of sets, each in
+    one call; ``placed``: (node, rep, times, n, component) of the sets with
+    a link.  Components too large for a task are cut into chunk pairs, small
+    ones share a task."""
+    total = placed.agg(F.sum("n").alias("n")).first()["n"] or 0
+    buckets = max(1, -(-total // CHUNK_SHINGLES))
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int")
+    large = placed.groupBy("component").agg(chunks.alias("chunks")).where("chunks > 1")
+    placed = placed.join(large, "component", "left")
+
+    def shingles(node, values, starts, sizes):
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), _i64(values))
+        return pa.RecordBatch.from_arrays([pa.array(node), lists], names=["node", "shingles"])
+
+    sets = _scan_sets(docs, placed, shingles, "node bigint, shingles array<bigint>")
+    side = placed.join(sets.dropDuplicates(["node"]), "node").withColumn(
+        "own", F.coalesce(F.pmod(F.xxhash64("node"), F.col("chunks")), F.lit(-1)).cast("int"))
+    others = F.when(F.col("chunks").isNull(), F.array(F.lit(-1))).otherwise(
+        F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1))
+    spread = side.select("*", F.explode(others).alias("other")).select(
+        F.when(F.col("chunks").isNull(), F.pmod(F.xxhash64("component"), F.lit(buckets)))
+        .otherwise(F.col("component")).alias("grp"),
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "component", "node", "rep", "times", "shingles")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("component", "ascending"), ("node", "ascending")]).combine_chunks()
+        lists = table.column("shingles").chunk(0)
+        values = lists.flatten().to_numpy()
+        sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        component, own = (table.column(c).to_numpy() for c in ("component", "own"))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        cut = np.flatnonzero(np.concatenate([[True], component[1:] != component[:-1]]))
+
+        def links():
+            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(component)]):
+                at = own[lo:hi]
+                for x, r in _links(values[first[lo]:first[hi]], sizes[lo:hi], np.flatnonzero(at == i),
+                                   np.flatnonzero(at == j), i == j):
+                    yield lo + x, lo + r
+
+        return make(table, links())
+
+    return spread.groupBy("grp", "i", "j").applyInArrow(compare, schema)
+
+
+def link_counts(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """(node, linked): rows with an id in the sets linked with each set."""
+    def make(table, links):
+        times = table.column("times").to_numpy()
+        n = np.zeros(len(times), np.int64)
+        for x, r in links:
+            n[x] += times[r].sum()
+            n[r] += times[x]
+        on = np.flatnonzero(n)
+        return pa.table({"node": table.column("node").to_numpy()[on], "n": n[on]})
+
+    return (_compared(docs, placed, make, "node bigint, n bigint").groupBy("node")
+            .agg(F.sum("n").alias("n")))
+
+
+def linked_pairs(docs: DataFrame) -> DataFrame:
+    """(a, b), a < b: the smallest ids of every two linked sets (documents
+    with equal sets count as their smallest id)."""
+    def make(table, links):
+        rep = table.column("rep").to_numpy()
+        parts = [(np.minimum(rep[r], rep[x]), np.maximum(rep[r], rep[x])) for x, r in links]
+        a, b = (np.concatenate([np.zeros(0, np.int64), *(q[k] for q in parts)]) for k in (0, 1))
+        return pa.table({"a": a, "b": b})
+
+    return _compared(docs, _placed(docs)[2], make, "a bigint, b bigint").where("a < b").distinct()
+
+
+def _placed(docs: DataFrame):
+    """The documents' sets; the sets with an id (node, rep, times, n); those
+    of them that have a link, with their component.  All checkpointed."""
     sets = document_sets(docs)
-    nodes = (sets.where("n_shingles > 0 and doc_id is not null").groupBy("node")
-             .agg(F.min("doc_id").alias("rep")))
-    groups = checkpoint(shared_blocks(block_members(docs)).join(nodes, "node")
+    nodes = checkpoint(sets.where("n_shingles > 0 and doc_id is not null").groupBy("node")
+                       .agg(F.min("doc_id").alias("rep"), F.count("*").alias("times"),
+                            F.first("n_shingles").alias("n")))
+    groups = checkpoint(shared_blocks(block_members(docs)).join(nodes.select("node", "rep"), "node")
                         .select("grp", "node", "rep"))
     members = checkpoint(groups.select("node", "rep").distinct())
     sketches = node_sketches(docs, members)
@@ -421,22 +539,39 @@ def join_documents(docs: DataFrame) -> DataFrame:
     more = checkpoint(_cross_pairs(rows).join(stars, ["a", "b"], "left_anti"))
     second = verified(docs, more, members)
     final = components(first.union(second)).withColumnRenamed("v", "node")
-    placed = nodes.join(final, "node", "left").select(
-        "node", "rep", F.coalesce("component", "node").alias("linked"))
+    return sets, nodes, checkpoint(nodes.join(final, "node"))
+
+
+def _named(sets: DataFrame, nodes: DataFrame, joined: DataFrame) -> DataFrame:
+    """The sets' rows with their component's name and smallest id."""
+    placed = nodes.join(joined.select("node", "component"), "node", "left").select(
+        "node", "rep", "times", F.coalesce("component", "node").alias("linked"))
     smallest = placed.groupBy("linked").agg(F.min("rep").alias("component_id"))
-    by_node = placed.join(smallest, "linked").select("node", "linked", "component_id")
+    by_node = placed.join(smallest, "linked").select("node", "times", "linked", "component_id")
     worded = F.col("n_shingles") > 0
     return (sets.join(by_node, "node", "left")
-            .select("doc_id", "text_id", "n_shingles", F.when(worded, F.col("linked")).alias("linked"),
+            .select("doc_id", "text_id", "n_shingles", "node", "times",
+                    F.when(worded, F.col("linked")).alias("linked"),
                     F.when(worded, F.col("component_id")).otherwise(F.col("doc_id"))
                     .alias("component_id")))
 
 
+def join_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, text_id, n_shingles, n_links, component_id and ``linked``
+    (one value per component; null without words) for every row."""
+    sets, nodes, joined = _placed(docs)
+    own = F.when(F.col("doc_id").isNotNull() & F.col("linked").isNotNull(),
+                 F.coalesce("n", F.lit(0)) + F.col("times") - 1)
+    return (_named(sets, nodes, joined).join(link_counts(docs, joined), "node", "left")
+            .select("doc_id", "text_id", "n_shingles", F.coalesce(own, F.lit(0)).alias("n_links"),
+                    "component_id", "linked"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document per component (the smallest id), with the input's
     columns.  Documents without words stay, and rows without an id whose
     set no document has; rows equal in id and text count as one."""
-    found = join_documents(docs)
+    found = _named(*_placed(docs))
     keepers = (found.where("doc_id is not null and linked is not null").groupBy("linked")
                .agg(F.min(F.struct("doc_id", "text_id")).alias("k")).select("k.doc_id", "k.text_id"))
     alone = found.where("linked is null").select("doc_id", "text_id")
@@ -452,4 +587,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_shingles", "component_id")
+        "doc_id", "n_shingles", "n_links", "component_id")

@@ -382,6 +382,47 @@ def test_jaccard_blocks_lose_no_linked_pair():
             assert set(key[doc == 0].tolist()) & set(key[doc == 1].tolist())
 
 
+def test_jaccard_links_against_brute_force(spark, documents, monkeypatch):
+    from carestar.llm import jaccard
+    rng = np.random.default_rng(12)
+    base = [f"b{i}" for i in range(70)]
+    docs = []
+    for k in range(90):  # near copies of one text, most of them linked with each other
+        w = list(base)
+        for _ in range(int(rng.integers(0, 3))):
+            w[int(rng.integers(70))] = f"e{int(rng.integers(9))}"
+        docs.append(" ".join(w))
+    docs += [" ".join(rng.choice([f"z{i}" for i in range(40)], int(rng.choice([3, 20, 60]))))
+             for _ in range(20)]
+    docs += docs[-3:] + [None, "", docs[0].upper()]
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+            for w in (words(t, True) for t in docs)]
+    pairs = {(a, b) for b in range(len(sets)) for a in range(b)
+             if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    expected = Counter(x for p in pairs for x in p)
+    assert len(pairs) > 1000
+    first = {}
+    low = [first.setdefault(frozenset(x), i) for i, x in enumerate(sets)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    expected_pairs = {(low[a], low[b]) if low[a] < low[b] else (low[b], low[a])
+                      for a, b in pairs if low[a] != low[b]}
+    for chunk in (jaccard.CHUNK, 16):  # also with the component cut into chunk pairs
+        monkeypatch.setattr(jaccard, "CHUNK", chunk)
+        got = {r["doc_id"]: r["n_links"] for r in rows(jaccard.join_documents(df))}
+        assert got == {i: expected[i] for i in range(len(docs))}
+    found = [(r["a"], r["b"]) for r in rows(jaccard.linked_pairs(df))]
+    assert len(found) == len(set(found)) and set(found) == expected_pairs
+    # The lists and the bit sets find the same; rows without an id have no links.
+    values = np.array([1, 2, 3, 4, 5, 1, 2, 3, 4, 5, 6, 7, 8, 9], np.int64)
+    far = np.concatenate([values, np.repeat(np.arange(100, 400), 2)])
+    sizes = np.array([5, 5, 4, *[1] * 600])
+    at = np.arange(3)
+    assert [(x, r.tolist()) for x, r in jaccard._links(far, sizes, at, at, True)] == [(0, [1])]
+    assert [(x, r.tolist()) for x, r in jaccard._links(values, sizes[:3], at, at, True)] == [(0, [1])]
+    edges = {r["doc_id"]: r["n_links"] for r in rows(jaccard.join_documents(documents))}
+    assert edges[None] == 0 and edges[5] == edges[6] == 0 and edges[8] == edges[9] == 1
+
+
 def test_jaccard_edges(spark, documents, no_documents):
     from carestar.llm.jaccard import join_documents, keep_one
     got = rows(join_documents(documents))
