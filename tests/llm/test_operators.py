@@ -142,6 +142,35 @@ def test_lm_scores_are_probabilities(spark):
         assert total == pytest.approx(1.0)
 
 
+def test_lm_learns_the_preceding_word(spark):
+    from carestar.llm import pitman_yor as lm
+    train = ["the cat", "she dog"] * 20 + ["a cat b dog", ""]
+    held = ["the cat", "the dog", "she dog", "she cat", "never seen cat"]  # the, she: one class
+    docs = spark.createDataFrame([(i, t, i >= len(train)) for i, t in enumerate(train + held)],
+                                 "doc_id long, text string, held_out boolean")
+    model = lm.learn(docs.where("not held_out"))
+    w, _, doc = lm.token_stream(pa.array(train))
+    h, prev = lm.bigrams_of(w, doc)
+    pairs = {r["h"]: r for r in rows(model.pairs)}
+    before = {r["prev"]: r for r in rows(model.before)}
+    assert {k: r["n"] for k, r in pairs.items()} == Counter(h.tolist())
+    assert {k: r["total"] for k, r in before.items()} == Counter(prev.tolist())
+    for p, r in before.items():  # a restaurant's words and its back-off add up to 1
+        mass = sum(pairs[x]["mass"] for x in set(h[prev == p].tolist()))
+        assert mass / (lm.WORD_STRENGTH + r["total"]) + r["back"] == pytest.approx(1.0)
+    results = []
+    for hot in (lm.HOT_WORDS, 0):  # also with all terms joined
+        was, lm.HOT_WORDS = lm.HOT_WORDS, hot
+        try:
+            results.append({r["doc_id"]: r["score"] for r in rows(lm.score(docs, model))})
+        finally:
+            lm.HOT_WORDS = was
+    assert results[0] == pytest.approx(results[1], abs=1e-4)
+    the_cat, the_dog, she_dog, she_cat, _ = [results[0][len(train) + k] for k in range(5)]
+    assert the_cat > the_dog + 0.5 and she_dog > she_cat + 0.5
+    assert results[0][0] == pytest.approx(the_cat)  # trained or held out: one probability
+
+
 def test_table_draws_follow_the_conditional():
     from carestar.llm.pitman_yor import _stirling, draw_tables
     c, d, weight, n = 5, 0.6, 1.7, 40_000
