@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from carestar.llm import (bpe, chat, covertree, jaccard, langid, mixing, pitman_yor, simhash,
+from carestar.llm import (bpe, chat, covertree, jaccard, langid, mixing, pitman_yor, runs, simhash,
                           substring, toxicity)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_ngram_jaccard": jaccard.op8_ngram_jaccard,
     "op9_substring_dedup": substring.op9_substring_dedup,
     "op10_language_id": langid.op10_language_id,
+    "op11_periodic_runs": runs.op11_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
