@@ -77,14 +77,14 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
-def slices(batch: pa.RecordBatch, column: str = "text"):
-    """Row slices of a batch that hold about SLICE_BYTES of text each."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES):
+    """Row slices of a batch that hold about ``size`` bytes of text each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = 0
     total = np.cumsum(sizes)
     while start < batch.num_rows:
         base = total[start] - sizes[start]
-        stop = max(start + 1, int(np.searchsorted(total, base + SLICE_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(total, base + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 

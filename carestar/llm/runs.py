@@ -42,7 +42,8 @@ COVER = (0, 1, 3, 9)
 
 MIN_LENGTH = 6
 MIN_EXPONENT = 4
-POINTS = 1 << 20  # grid points looked at together
+POINTS = 1 << 18  # grid points looked at together
+TOGETHER = 2 << 20  # bytes of text whose documents are looked at together
 
 _IN_COVER = np.isin(np.arange(V), COVER)
 # Smallest shift that brings places with these residues into the cover.
@@ -221,7 +222,7 @@ def collapse_runs(docs: DataFrame, min_length: int = MIN_LENGTH,
 
     def find(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=TOGETHER):
                 t = Tokens(part.column("text"))
                 n = len(t.counts)
                 doc, start, length, period = runs_of(t.index, t.counts, min_length, min_exponent)
