@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from carestar.llm import (bpe, chat, covertree, jaccard, langid, mixing, pitman_yor, runs, simhash,
-                          substring, toxicity)
+from carestar.llm import (bpe, chat, covertree, jaccard, langid, mixing, pitman_yor, runs, segments,
+                          simhash, substring, toxicity, voronoi)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -18,6 +18,8 @@ QUERIES = {
     "op9_substring_dedup": substring.op9_substring_dedup,
     "op10_language_id": langid.op10_language_id,
     "op11_periodic_runs": runs.op11_periodic_runs,
+    "op12_exact_top_k": voronoi.op12_exact_top_k,
+    "op13_hard_negatives": segments.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +28,6 @@ QUERIES = {
 ORACLE = {
     "op1_mix_sources": mixing.ORACLE_SQL,
     "op9_substring_dedup": substring.ORACLE_SQL,
+    "op12_exact_top_k": voronoi.ORACLE_SQL,
+    "op13_hard_negatives": segments.ORACLE_SQL,
 }
