@@ -29,6 +29,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -36,12 +37,16 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from carestar.llm.common import pick, read_table
+from carestar.llm.common import pick, read_table, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-MAX_STATES = 400_000   # of the lazy transducer, then it starts afresh
-MAX_MEMO = 250_000     # entries in each of a memo's two generations
+# Caches of a worker, in bytes as estimated: with the batch at hand (SLICE)
+# a worker stays near 300 MB whatever the texts hold.
+MACHINE_BYTES = 160 << 20  # states and transitions, then the machine starts afresh
+PAIR_BYTES = 24 << 20     # tested pairs of entries
+MEMO_BYTES = 16 << 20     # each of the two generations of a memo
+SLICE = 1 << 20           # bytes of text whose ids are held together
 RUN = 65_536           # pieces encoded between two digest updates
 STRETCH = 1 << 19      # characters split into words at a time
 SETTLE = 4_096         # bytes of one piece between two emissions
@@ -78,10 +83,11 @@ class Transducer:
         self._fresh()
 
     def _fresh(self) -> None:
-        start = ((0, -1),)
+        start = (0,)  # a live position: its trie node << 32 | its last token + 1
         self.states = [start]
         self.number = {start: 0}
         self.delta: dict[int, tuple[int, int]] = {}
+        self.held = 0
 
     def outer_parts(self, token: int) -> tuple | None:
         """(first parts, last parts) the entry has while it is merged from
@@ -121,7 +127,7 @@ class Transducer:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) * 120 > PAIR_BYTES:
                 self.pairs.clear()
             own, other = self.outer_parts(left), self.outer_parts(right)
             known = own is not None and other is not None and self._apart(own[1], other[0])
@@ -141,21 +147,24 @@ class Transducer:
         """Determinise one transition: next state (times 256, as the key of a
         transition begins), last token of the prefix."""
         alive, newest = [], -1
-        for node, last in self.states[state]:
-            nxt = self.trie.get(node << 8 | byte)
+        for live in self.states[state]:
+            nxt = self.trie.get(live >> 32 << 8 | byte)
             if nxt is None:
                 continue
-            alive.append((nxt, last))
+            last = live & 0xFFFFFFFF
+            alive.append(nxt << 32 | last)
             if newest < 0:
                 token = self.token_at.get(nxt)
-                if token is not None and self.follows(last, token):
+                if token is not None and self.follows(last - 1, token):
                     newest = token
-        alive.append((0, newest))
+        alive.append(newest + 1)
         key = tuple(alive)
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
             self.states.append(key)
+            self.held += 200 + 44 * len(key)
+        self.held += 220
         out = self.delta[state << 8 | byte] = (number << 8, newest)
         return out
 
@@ -169,8 +178,8 @@ class Transducer:
 
     def _settle(self, ends: list[int], state: int) -> tuple[list[int], int]:
         """(tokens on which all live positions agree, where they end)."""
-        ways = [self._way_back(ends, len(ends) - self.depth[node])[::-1]
-                for node, _ in self.states[state]]
+        ways = [self._way_back(ends, len(ends) - self.depth[live >> 32])[::-1]
+                for live in self.states[state]]
         agreed = 0
         while all(len(w) > agreed and w[agreed] == ways[0][agreed] for w in ways):
             agreed += 1
@@ -182,7 +191,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:  # an entry of the vocabulary stands for itself
             return [whole]
-        if len(self.states) > MAX_STATES:
+        if self.held > MACHINE_BYTES:
             self._fresh()
         out: list[int] = []
         ends: list[int] = []  # last token of every prefix from the last emission on
@@ -224,19 +233,22 @@ class Utf8Stream:
 
 
 class Memo(dict):
-    """A bounded cache: what was not met for a generation goes."""
+    """A cache bounded in bytes: what was not met for a generation goes."""
 
     def __init__(self, make):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.older, self.held = make, {}, 0
 
     def __missing__(self, key: str):
-        known = self.older.get(key) or self.make(key)
+        known = self.older.get(key)
+        if known is None:
+            known = self.make(key)
         if len(key) <= 64:
-            if len(self) >= MAX_MEMO:
-                self.older = dict(self)
+            if self.held > MEMO_BYTES:
+                self.older, self.held = dict(self), 0
                 self.clear()
             self[key] = known
+            self.held += 230 + len(key) + 8 * len(known)
         return known
 
 
@@ -247,25 +259,24 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.machine = Transducer(self.ranks)
+        self.shown = {i: b"%d" % i for i in self.machine.bytes_of}
         self.split = regex.compile(pattern)
         self.by_word = pattern == PATTERN
-        # (ids, their decimal text) of a piece, and of a word after a space.
+        # Ids of a piece, and of a word after a space.
         self.pieces = Memo(self._piece)
         self.words = Memo(self._word)
 
-    def _piece(self, piece: str) -> tuple[tuple[int, ...], str]:
-        ids = tuple(self.machine.encode(piece.encode("utf-8")))
-        return ids, " ".join(map(str, ids))
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        return tuple(self.machine.encode(piece.encode("utf-8")))
 
-    def _word(self, word: str) -> tuple[tuple[int, ...], str]:
+    def _word(self, word: str) -> tuple[int, ...]:
         if word.isascii() and word.isalpha():  # one match, whichever word it is
             return self._piece(" " + word)
         known = [self.pieces[p] for p in self.split.findall(" " + word)]
-        return known[0] if len(known) == 1 else (
-            tuple(chain.from_iterable(ids for ids, _ in known)), " ".join([s for _, s in known]))
+        return known[0] if len(known) == 1 else tuple(chain.from_iterable(known))
 
     def runs(self, text: str):
-        """(ids, their decimal text) of successive bounded runs of the text."""
+        """Ids of successive bounded runs of the text."""
         at, lead = 0, ""
         while at < len(text):
             cut = BORDER.search(text, at + STRETCH) if self.by_word else None
@@ -273,9 +284,9 @@ class Codec:
             first, *rest = self._stretch(text[at:to])
             pieces = map(regex.Match.group, self.split.finditer(lead + first))
             while run := list(islice(pieces, RUN)):
-                yield self._joined([self.pieces[p] for p in run])
+                yield list(chain.from_iterable([self.pieces[p] for p in run]))
             if rest:
-                yield self._joined([self.words[w] for w in rest])
+                yield list(chain.from_iterable([self.words[w] for w in rest]))
             at, lead = to + 1, " "
 
     def _stretch(self, text: str) -> list[str]:
@@ -284,13 +295,8 @@ class Codec:
             return [text]
         return BORDER.split(text) if NO_BORDER.search(text) else text.split(" ")
 
-    @staticmethod
-    def _joined(known) -> tuple[list[int], str]:
-        return (list(chain.from_iterable([ids for ids, _ in known])),
-                " ".join([shown for _, shown in known]))
-
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.runs(text) for i in ids]
+        return [i for ids in self.runs(text) for i in ids]
 
     def decode(self, ids: list[int]) -> str:
         stream, table = Utf8Stream(), self.machine.bytes_of
@@ -315,39 +321,37 @@ def encode_documents(docs: DataFrame, path: str = VOCABULARY, with_ids: bool = T
 
     def run(batches):
         own = codec(path)
-        table = own.machine.bytes_of
         for batch in batches:
-            rows = {"doc_id": batch.column("doc_id"), "n_tokens": [], "ids_sha256": [],
-                    "decoded_sha256": []}
-            kept = []
-            for text in batch.column("text").to_pylist():
-                digest, back, stream = hashlib.sha256(), hashlib.sha256(), Utf8Stream()
-                count, all_ids = 0, []
-                for ids, shown in own.runs(text or ""):
-                    if count:
-                        digest.update(b" ")
-                    digest.update(shown.encode())
-                    count += len(ids)
-                    back.update(stream.feed(b"".join([table[i] for i in ids])).encode("utf-8"))
-                    if with_ids:
-                        all_ids.extend(ids)
-                back.update(stream.end().encode("utf-8"))
-                rows["n_tokens"].append(count)
-                rows["ids_sha256"].append(digest.hexdigest())
-                rows["decoded_sha256"].append(back.hexdigest())
-                kept.append(pa.array(all_ids, pa.int32()))
-            out = [rows["doc_id"], pa.array(rows["n_tokens"], pa.int64()),
-                   pa.array(rows["ids_sha256"], pa.string()),
-                   pa.array(rows["decoded_sha256"], pa.string())]
-            names = list(rows)
-            if with_ids:
-                offsets = [0]
-                for k in kept:
-                    offsets.append(offsets[-1] + len(k))
-                flat = pa.concat_arrays(kept) if kept else pa.array([], pa.int32())
-                out.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(out, names=names)
+            for part in slices(batch, size=SLICE):
+                yield encoded(own, part)
+
+    def encoded(own, part):
+        table, shown = own.machine.bytes_of, own.shown
+        counts, digests, backs, at, kept = [], [], [], [0], array("i")
+        for text in part.column("text"):
+            digest, back, stream = hashlib.sha256(), hashlib.sha256(), Utf8Stream()
+            count = 0
+            for ids in own.runs(text.as_py() or ""):
+                if count:
+                    digest.update(b" ")
+                digest.update(b" ".join([shown[i] for i in ids]))
+                count += len(ids)
+                back.update(stream.feed(b"".join([table[i] for i in ids])).encode("utf-8"))
+                if with_ids:
+                    kept.extend(ids)
+            back.update(stream.end().encode("utf-8"))
+            counts.append(count)
+            digests.append(digest.hexdigest())
+            backs.append(back.hexdigest())
+            at.append(len(kept))
+        out = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
+               pa.array(backs, pa.string())]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            flat = pa.Array.from_buffers(pa.int32(), len(kept), [None, pa.py_buffer(kept.tobytes())])
+            out.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(out, names=names)
 
     return pick(docs, doc_id="bigint", text="string").mapInArrow(
         run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ids_field)

@@ -660,8 +660,9 @@ def test_bpe_word_borders_and_long_pieces_match_tiktoken(monkeypatch):
     from carestar.llm import bpe
     monkeypatch.setattr(bpe, "STRETCH", 40)
     monkeypatch.setattr(bpe, "SETTLE", 64)
-    monkeypatch.setattr(bpe, "MAX_MEMO", 500)
-    monkeypatch.setattr(bpe, "MAX_STATES", 2_000)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 100_000)
+    monkeypatch.setattr(bpe, "MACHINE_BYTES", 400_000)
+    monkeypatch.setattr(bpe, "PAIR_BYTES", 20_000)
     codec = bpe.Codec()
     exact = tiktoken.Encoding("exact", pat_str=P.PATTERN, mergeable_ranks=codec.ranks,
                               special_tokens={})
