@@ -10,13 +10,14 @@ from dataclasses import dataclass
 class Profile:
     # Fixed date the ages are computed against (the reference uses CURRENT_DATE).
     as_of: dt.date = dt.date(2025, 12, 31)
-    # Bounds of the date spine; None = derive from the facts (first Jan 1
-    # through last Dec 31 that cover every encounter and fill).
+    # Bounds of the date spine; None = derive that end from the facts (first
+    # Jan 1, last Dec 31 that cover every encounter and fill).
     spine_start: dt.date | None = dt.date(2010, 1, 1)
     spine_end: dt.date | None = dt.date(2030, 12, 31)
 
 
 # Reference defaults: spine 2010-01-01 .. 2030-12-31.
 REFERENCE = Profile()
-# Test tables: the spine covers the years the facts hold.
-TESTDATA = Profile(spine_start=None, spine_end=None)
+# Test tables: the spine begins inside the facts' years (facts of 1995 have
+# no day in it) and ends with them.
+TESTDATA = Profile(spine_start=dt.date(1996, 1, 1), spine_end=None)

@@ -89,12 +89,16 @@ def fact_date_bounds(raw: RawTables) -> DataFrame:
 
 
 def dim_date(raw: RawTables, spark: SparkSession | None = None) -> DataFrame:
-    """The date dimension over the profile's bounds, or over the years
-    the facts cover when the profile leaves them open."""
+    """The date dimension over the profile's bounds; an end that the
+    profile leaves open is that of the years the facts cover."""
     prof = raw.profile
     if prof.spine_start is not None and prof.spine_end is not None:
         return date_spine(spark or raw.patients.sparkSession, prof.spine_start, prof.spine_end)
-    days = fact_date_bounds(raw).select(
+    bounds = fact_date_bounds(raw)
+    for name, fixed in (("start", prof.spine_start), ("end", prof.spine_end)):
+        if fixed is not None:
+            bounds = bounds.withColumn(name, to_date_lit(fixed))
+    days = bounds.where(F.col("start") <= F.col("end")).select(
         F.explode(F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     return _date_attributes(days)
 

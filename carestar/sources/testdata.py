@@ -4,8 +4,8 @@ customer -> patients, orders -> encounters, lineitem -> medications,
 returned-and-finished lineitems -> conditions, supplier -> providers,
 region -> organizations, nation -> payers.  Every raw table is a lazy
 DataFrame over the whole input tables; nothing is sampled or capped.
-Derived attributes (gender, ethnicity, birth dates, seeded NULLs and
-blanks) are deterministic functions of the keys.
+Derived attributes (gender, ethnicity, birth dates, seeded NULLs, blanks and
+orphans) are deterministic functions of the keys.
 """
 
 from __future__ import annotations
@@ -30,6 +30,11 @@ def _dec(c: str):
     return F.col(c).cast(MONEY)
 
 
+def _lost(row_key: str, every: int, at: int, key: str):
+    """Seeded orphans: some rows name a key that no dimension holds."""
+    return F.when(F.col(row_key) % every == at, -1 - F.col(key)).otherwise(F.col(key))
+
+
 def patients(t: dict[str, DataFrame]) -> DataFrame:
     k = F.col("c_custkey")
     nat = t["nation"].select("n_nationkey", "n_name")
@@ -65,9 +70,10 @@ def encounters(t: dict[str, DataFrame]) -> DataFrame:
     no_lines = F.col("l_orderkey").isNull()
     return o.select(
         F.col("o_orderkey").alias("Id"),
-        F.col("o_custkey").alias("PATIENT"),
-        F.col("provider").alias("PROVIDER"),
-        F.col("c_nationkey").alias("PAYER"),
+        _lost("o_orderkey", 350, 3, "o_custkey").alias("PATIENT"),
+        _lost("o_orderkey", 400, 7, "provider").alias("PROVIDER"),
+        F.when(F.col("o_orderkey") % 450 == 9, F.col("c_nationkey") + 1000)
+         .otherwise(F.col("c_nationkey")).alias("PAYER"),
         F.col("n_regionkey").alias("ORGANIZATION"),
         F.col("o_orderpriority").alias("ENCOUNTERCLASS"),
         F.col("o_orderstatus").alias("CODE"),
@@ -100,7 +106,7 @@ def medications(t: dict[str, DataFrame]) -> DataFrame:
     return m.select(
         F.col("l_shipdate").alias("START"),
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("STOP"),
-        F.col("o_custkey").alias("PATIENT"),
+        _lost("l_orderkey", 550, 5, "o_custkey").alias("PATIENT"),
         F.col("c_nationkey").alias("PAYER"),
         F.col("l_orderkey").alias("ENCOUNTER"),
         F.col("l_partkey").alias("CODE"),
