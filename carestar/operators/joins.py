@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +37,6 @@ def combine_one_row(*frames: DataFrame) -> DataFrame:
     ``unionByName`` (missing columns NULL) and folded with ``max``, which
     keeps the one non-NULL value per column.  No cross join is planned.
     """
-    from functools import reduce
-
     cols = [c for f in frames for c in f.columns]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return stacked.agg(*[F.max(c).alias(c) for c in cols])
@@ -71,3 +72,65 @@ def count_not_in(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
             .select(F.when(F.col("_dim_n") == 0, F.col("_n_all"))
                     .when(F.col("_dim_nulls") > 0, F.lit(0).cast("long"))
                     .otherwise(F.col("_n_anti")).alias("violations")))
+
+
+@dataclass(frozen=True)
+class NotIn:
+    """Rows of ``table`` whose ``key`` is NOT IN (``set_key`` of
+    ``set_table``), counted under ``name``; ``known`` leaves out rows with a
+    NULL key, ``known_set`` NULLs of the set."""
+    name: str
+    table: str
+    key: str
+    set_table: str
+    set_key: str
+    known: bool = False
+    known_set: bool = False
+
+
+def not_in_counts(tables: dict[str, DataFrame], rules: list[NotIn]) -> DataFrame:
+    """(check_name, violations) of all rules in one pass.
+
+    Every table is scanned once: its rows name all keys they hold for a rule
+    or for a set, tagged with that set.  The tagged keys are united and
+    aggregated once per (set, key), combined before the shuffle, so a key
+    with a third of all rows is one row per task; a second, tiny aggregate
+    per set folds the rules with the semantics of ``count_not_in``.  Keys
+    are compared as text."""
+    sets = list(dict.fromkeys((r.set_table, r.set_key, r.known_set) for r in rules))
+    parts = []
+    for name in dict.fromkeys(t for r in rules for t in (r.table, r.set_table)):
+        tags = [(sets.index((r.set_table, r.set_key, r.known_set)), r.key, i, r.known)
+                for i, r in enumerate(rules) if r.table == name]
+        tags += [(k, key, -1, known) for k, (table, key, known) in enumerate(sets) if table == name]
+        rows = F.array(*[F.struct(F.lit(s).alias("s"), F.col(key).cast("string").alias("k"),
+                                  F.lit(i).alias("rule"), F.lit(known).alias("known"))
+                         for s, key, i, known in tags])
+        parts.append(tables[name].select(F.explode(rows).alias("t")).select("t.*")
+                     .where(~F.col("known") | F.col("k").isNotNull())
+                     .select("s", "k", "rule", F.lit(1).cast("long").alias("n")))
+    spark = next(iter(tables.values())).sparkSession
+    parts.append(spark.range(len(sets)).select(  # a set stays when nothing is in it
+        F.col("id").cast("int").alias("s"), F.lit(None).cast("string").alias("k"),
+        F.lit(-1).alias("rule"), F.lit(0).cast("long").alias("n")))
+
+    def total(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0).cast("long"))
+
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("s", "k").agg(
+        total(F.col("rule") < 0).alias("held"),
+        *[total(F.col("rule") == i).alias(f"r{i}") for i in range(len(rules))])
+    unmatched = F.col("k").isNotNull() & (F.col("held") == 0)
+    per_set = per_key.groupBy("s").agg(
+        F.sum("held").alias("set_n"),
+        F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("held"))), F.lit(0)).alias("set_nulls"),
+        *[F.sum(f"r{i}").alias(f"all{i}") for i in range(len(rules))],
+        *[F.coalesce(F.sum(F.when(unmatched, F.col(f"r{i}"))), F.lit(0)).alias(f"anti{i}")
+          for i in range(len(rules))])
+    out = F.array(*[F.struct(
+        F.lit(sets.index((r.set_table, r.set_key, r.known_set))).alias("of"),
+        F.lit(r.name).alias("check_name"),
+        F.when(F.col("set_n") == 0, F.col(f"all{i}")).when(F.col("set_nulls") > 0, 0)
+        .otherwise(F.col(f"anti{i}")).cast("long").alias("violations")) for i, r in enumerate(rules)])
+    return (per_set.select("s", F.explode(out).alias("o")).where(F.col("o.of") == F.col("s"))
+            .select("o.check_name", "o.violations"))

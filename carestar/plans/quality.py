@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestar.functions.expr import is_blank, out_money, ratio_pct, round_money
-from carestar.operators.joins import count_not_in
+from carestar.operators.joins import NotIn, not_in_counts
 from carestar.operators.topk import top_k
 from carestar.sources.tables import Star
 
@@ -20,32 +20,47 @@ DEFAULT_NULL_CHECKS = {
 }
 
 
-def _keys(df: DataFrame, key: str) -> DataFrame:
-    """Distinct fact keys with their row counts: a map-side combined
-    aggregate, so a key holding a third of the rows shrinks to one row per
-    partition before the shuffle."""
-    return df.groupBy(F.col(key).alias(key)).agg(F.count(F.lit(1)).alias("_rows"))
+ORPHAN_RULES = [
+    NotIn("orphan_encounters_no_patient", "fact_encounter", "patient_key", "dim_patient", "patient_key"),
+    NotIn("orphan_meds_no_patient", "fact_medication", "patient_key", "dim_patient", "patient_key"),
+    NotIn("orphan_encounters_no_provider", "fact_encounter", "provider_key", "dim_provider",
+          "provider_key"),
+    NotIn("orphan_encounters_no_payer", "fact_encounter", "payer_key", "dim_payer", "payer_key",
+          known=True),
+]
+
+# Keys that no fact names.  Encounters without a provider put a NULL into the
+# set of the first provider rule, which therefore counts nothing.
+UNREFERENCED_RULES = [
+    NotIn("patients_without_encounters", "dim_patient", "patient_key", "fact_encounter", "patient_key"),
+    NotIn("patients_without_fills", "dim_patient", "patient_key", "fact_medication", "patient_key"),
+    NotIn("providers_without_encounters", "dim_provider", "provider_key", "fact_encounter",
+          "provider_key"),
+    NotIn("providers_without_known_encounters", "dim_provider", "provider_key", "fact_encounter",
+          "provider_key", known_set=True),
+    NotIn("encounters_without_fills", "fact_encounter", "encounter_key", "fact_medication",
+          "encounter_key"),
+    NotIn("encounters_of_fillless_patients", "fact_encounter", "patient_key", "fact_medication",
+          "patient_key"),
+    NotIn("providers_of_encounters_not_payers", "fact_encounter", "provider_key",
+          "dim_payer", "payer_key"),
+]
+
+
+def _counts(star: Star, rules: list[NotIn]) -> DataFrame:
+    names = {t for r in rules for t in (r.table, r.set_table)}
+    return not_in_counts({n: star.get(n) for n in sorted(names)}, rules)
 
 
-def _orphans(fact: DataFrame, key: str, dim: DataFrame, dim_key: str,
-             skip_null: bool = False) -> DataFrame:
-    keys = _keys(fact.filter(F.col(key).isNotNull()) if skip_null else fact, key)
-    return count_not_in(keys, key, dim, dim_key, weight="_rows")
+def orphan_checks(star: Star) -> DataFrame:
+    """Fact rows whose key is NOT IN the dimension (SQL NULL semantics),
+    all rules in one pass over each table."""
+    return _counts(star, ORPHAN_RULES)
 
 
-def orphan_checks(star: Star) -> DataFrame:
-    """Fact rows whose key is NOT IN the dimension (SQL NULL semantics)."""
-    fe, fm = star.fact_encounter, star.fact_medication
-    checks = [
-        ("orphan_encounters_no_patient", _orphans(fe, "patient_key", star.dim_patient, "patient_key")),
-        ("orphan_meds_no_patient", _orphans(fm, "patient_key", star.dim_patient, "patient_key")),
-        ("orphan_encounters_no_provider",
-         _orphans(fe, "provider_key", star.dim_provider, "provider_key")),
-        ("orphan_encounters_no_payer",
-         _orphans(fe, "payer_key", star.dim_payer, "payer_key", skip_null=True)),
-    ]
-    return reduce(DataFrame.unionByName,
-                  [df.select(F.lit(n).alias("check_name"), "violations") for n, df in checks])
+def unreferenced_keys(star: Star) -> DataFrame:
+    """NOT IN the other way round: keys that no row of a fact names."""
+    return _counts(star, UNREFERENCED_RULES)
 
 
 def dim_null_keys(star: Star) -> DataFrame:

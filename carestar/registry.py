@@ -63,6 +63,7 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "payer_coverage_profile": profile.payer_coverage_profile,
     # quality (L19-L23)
     "orphan_checks": quality.orphan_checks,
+    "unreferenced_keys": quality.unreferenced_keys,
     "dim_null_keys": quality.dim_null_keys,
     "overpayment_violations": quality.overpayment_violations,
     "null_rates": quality.null_rates,
