@@ -50,8 +50,6 @@ BI_MEDICATION = _wide(
 
 SQL["bi_encounter"] = with_star(BI_ENCOUNTER)
 SQL["bi_medication"] = with_star(BI_MEDICATION)
-SQL["export_bi_parquet"] = with_star(BI_ENCOUNTER)
-SQL["export_bi_csv"] = with_star(BI_MEDICATION)
 
 
 def _short(inner: str, names: dict[str, str], zero: dict[str, str]) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from carestar.functions.expr import out_money
 from carestar.operators.joins import maybe_broadcast
 from carestar.sources import sinks
+from carestar.sources.csvscan import read_csv
 from carestar.sources.tables import Star
 
 
@@ -106,9 +107,7 @@ def read_bi_parquet(spark: SparkSession, path: str, like: DataFrame) -> DataFram
 
 
 def read_bi_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return (spark.read.schema(like.schema).option("header", True)
-            .option("escape", '"').option("multiLine", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").csv(path))
+    return read_csv(spark, path, like.schema, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss")
 
 
 def _z(c, typ: str = "double"):
@@ -172,3 +171,11 @@ def export_facts(star: Star, root: str) -> dict[str, str]:
         sinks.write_gzip_json(df, p)
         out[name] = p
     return out
+
+
+def read_facts(spark: SparkSession, paths: dict[str, str], star: Star) -> dict[str, DataFrame]:
+    """The exports of ``export_facts`` read back with their own types."""
+    like = {"fact_med.json.gz": export_medication_facts(star),
+            "fact_enc.json.gz": export_encounter_facts(star),
+            "conditions.json.gz": export_condition_bridge(star)}
+    return {name: spark.read.schema(like[name].schema).json(path) for name, path in paths.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql.types import DecimalType
 
 from carestar.plans import (bi, brand, conditions, dashboard, filters, profile, quality,
                             star as star_plans)
+from carestar.sources import schemas
+from carestar.sources.digest import content_digest
 from carestar.sources.tables import Star
 
 
@@ -142,38 +145,58 @@ def _fresh(spark, sf_dir: str, name: str) -> str:
 SINK_JOBS: dict[str, Callable] = {}
 
 
+def _digests(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table read back: name, rows, digest of the content."""
+    return reduce(DataFrame.unionByName, [content_digest(n, df) for n, df in tables.items()])
+
+
 def _export_bi_parquet(spark, sf_dir, s: Star) -> DataFrame:
-    """L26 round trip: Parquet export of the encounter BI table, read back."""
+    """Both BI tables exported as Parquet, digests of what is read back."""
     paths = bi.export_bi(s, _fresh(spark, sf_dir, "exports"), formats=("parquet",))
-    return bi.read_bi_parquet(spark, paths["bi_encounter.parquet"], bi.bi_encounter(s))
+    return _digests({
+        "bi_encounter": bi.read_bi_parquet(spark, paths["bi_encounter.parquet"], bi.bi_encounter(s)),
+        "bi_medication": bi.read_bi_parquet(spark, paths["bi_medication.parquet"],
+                                            bi.bi_medication(s))})
 
 
 def _export_bi_csv(spark, sf_dir, s: Star) -> DataFrame:
-    """L26 round trip: CSV export of the medication BI table, read back."""
+    """Both BI tables exported as CSV, digests of what is read back."""
     paths = bi.export_bi(s, _fresh(spark, sf_dir, "exports_csv"), formats=("csv",))
-    return bi.read_bi_csv(spark, paths["bi_medication.csv"], bi.bi_medication(s))
+    return _digests({
+        "bi_encounter": bi.read_bi_csv(spark, paths["bi_encounter.csv"], bi.bi_encounter(s)),
+        "bi_medication": bi.read_bi_csv(spark, paths["bi_medication.csv"], bi.bi_medication(s))})
+
+
+def _export_facts_json(spark, sf_dir, s: Star) -> DataFrame:
+    """The fact exports as gzip JSON Lines, digests of what is read back."""
+    paths = bi.export_facts(s, _fresh(spark, sf_dir, "exports_json"))
+    back = bi.read_facts(spark, paths, s)
+    return _digests({name.split(".")[0]: df for name, df in back.items()})
 
 
 SINK_JOBS["export_bi_parquet"] = _export_bi_parquet
 SINK_JOBS["export_bi_csv"] = _export_bi_csv
+SINK_JOBS["export_facts_json"] = _export_facts_json
 
 
 def oracle() -> dict[str, str]:
     from carestar.oracle import (bi as obi, brand as obrand, dashboard as odash,
-                                 quality as oquality, star as ostar)
+                                 quality as oquality, sinks as osinks, star as ostar)
     out: dict[str, str] = {}
-    for mod in (ostar, obrand, oquality, obi, odash):
+    for mod in (ostar, obrand, oquality, obi, odash, osinks):
         out.update(mod.SQL)
     return {k: v for k, v in out.items() if k in JOBS or k in SINK_JOBS}
 
 
 def _ingest_roundtrip(spark, sf_dir, s: Star) -> DataFrame:
-    """L0 round trip: the raw tables written in the claims CSV layout, then
-    ingested back with explicit schemas; row count per table."""
-    from carestar.sources.ingest import export_raw_csv, ingest_raw
-    csv_dir = _fresh(spark, sf_dir, "csv")
+    """L0 round trip: every raw table (claims, counted-only and the extra
+    one) written in its CSV layout, ingested back, and digested by content."""
+    from carestar.sources.ingest import export_raw_csv, ingest_raw, read_ingested
+    csv_dir, out_dir = _fresh(spark, sf_dir, "csv"), _fresh(spark, sf_dir, "ingested")
     export_raw_csv(s.raw, csv_dir)
-    return ingest_raw(spark, csv_dir, _fresh(spark, sf_dir, "ingested"))
+    extra = {n: f"{csv_dir}/{n}.csv" for n in s.raw.counted if n not in schemas.COUNTED_ONLY}
+    ingest_raw(spark, csv_dir, out_dir, extra=extra)
+    return _digests({n: read_ingested(spark, out_dir, n) for n in s.raw.named()})
 
 
 SINK_JOBS["ingest_roundtrip"] = _ingest_roundtrip

@@ -1,10 +1,9 @@
 """L0: load the raw claims CSV files with explicit schemas into Parquet.
 
-The reference infers types by reading every file fully; here each known
-table has a ``StructType`` (ids and codes as strings, money as decimals)
-applied by header name, values that do not parse are kept as NULL with the
-failing column names in ``_corrupt_record`` instead of failing the load,
-and counted-only tables keep every column as text.
+Each known table has a ``StructType`` (ids and codes as strings, money as
+decimals) applied by header name; values that do not parse are kept as NULL
+with the failing column names in ``_corrupt_record`` instead of failing the
+load.  Tables without a schema take the types that all their values fit.
 """
 
 from __future__ import annotations
@@ -13,11 +12,12 @@ import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructType
 
 from carestar.operators.counts import row_counts
 from carestar.sources import schemas
 from carestar.sources.concurrent import run_concurrently
+from carestar.sources.csvscan import infer_types, read_csv, text_schema, typed
 from carestar.sources.tables import RAW_NAMES, RawTables
 
 CORRUPT = "_corrupt_record"
@@ -51,27 +51,19 @@ def typed_by_name(text: DataFrame, schema: StructType) -> DataFrame:
 
 def read_claims_csv(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
     """Read a claims CSV by header name (files carry more columns than the
-    jobs read, in their own order): every column as text, then typed by name."""
-    # Quotes inside a field are doubled, fields may span lines, a file of a
-    # folder whose header differs fails, and rows with too many or too few
-    # fields are marked.
+    jobs read, in their own order): every column as text, then typed by name,
+    or by what the whole file holds where there is no schema."""
+    # A file of a folder whose header differs fails, and rows with too many
+    # or too few fields are marked.
     columns = text_schema(spark, path)
-    text = (spark.read.schema(columns.add(MALFORMED, StringType())).option("header", True)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
-            .option("escape", '"').option("multiLine", True).option("enforceSchema", False)
-            .csv(path))
+    text = read_csv(spark, path, columns.add(MALFORMED, StringType()), mode="PERMISSIVE",
+                    columnNameOfCorruptRecord=MALFORMED, enforceSchema=False)
     if schema is None:
-        return text.drop(MALFORMED)  # counted-only table: every column as text
+        text = text.drop(MALFORMED)
+        return typed(text, infer_types(text))
     return typed_by_name(text, schema)
 
 
-def text_schema(spark: SparkSession, path: str) -> StructType:
-    """All-text schema in the order of the file header (reads the header only)."""
-    header = (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
-              .csv(path).columns)
-    return StructType([StructField(c, StringType(), True) for c in header])
-
-
 def ingest_raw(spark: SparkSession, csv_dir: str, out_dir: str,
                extra: dict[str, str] | None = None, partial: bool = False) -> DataFrame:
     """Read ``<csv_dir>/<table>.csv`` for every claims table and every
@@ -79,7 +71,7 @@ def ingest_raw(spark: SparkSession, csv_dir: str, out_dir: str,
     (overwrite: re-runs are idempotent) and return the row count per table.
 
     ``extra`` maps more table names to CSV paths (e.g. the CDC overdose
-    file), read with every column as text.  A missing claims table or
+    file), typed by what they hold.  A missing claims table or
     extra file raises, unless ``partial`` says that some may be absent."""
 
     tables = [(n, posixpath.join(csv_dir, f"{n}.csv"), schemas.CLAIMS[n]) for n in RAW_NAMES]
@@ -101,12 +93,17 @@ def ingest_raw(spark: SparkSession, csv_dir: str, out_dir: str,
     return row_counts({t[0]: df for t, df in done.items()}, "table_name", "row_count")
 
 
+def read_ingested(spark: SparkSession, parquet_dir: str, name: str) -> DataFrame:
+    """An ingested table without the marks of its faulty rows."""
+    return spark.read.parquet(posixpath.join(parquet_dir, name)).drop(CORRUPT)
+
+
 def load_raw(spark: SparkSession, parquet_dir: str, profile=None) -> RawTables:
     """The ingested Parquet tables as ``RawTables`` (the input of the star)."""
     from carestar.config import REFERENCE
 
     def rd(n):
-        return spark.read.parquet(posixpath.join(parquet_dir, n)).drop(CORRUPT)
+        return read_ingested(spark, parquet_dir, n)
 
     counted = {}
     for n in schemas.COUNTED_ONLY + ["cdc_drug_overdose"]:
@@ -140,14 +137,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def export_raw_csv(raw: RawTables, csv_dir: str) -> None:
     """Write raw tables in the claims CSV layout (schema columns, missing
-    ones empty): the inverse of ``ingest_raw``, used for round trips."""
+    ones empty; counted tables as they are): the inverse of ``ingest_raw``,
+    used for round trips."""
     def one(name):
-        schema = schemas.CLAIMS[name]
         df = raw.get(name)
-        cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
-                .alias(f.name) for f in schema.fields]
-        (df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"')
+        if name in schemas.CLAIMS:
+            df = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
+                             .cast(f.dataType).alias(f.name) for f in schemas.CLAIMS[name].fields])
+        (df.write.mode("overwrite").option("header", True).option("escape", '"')
          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
          .option("dateFormat", "yyyy-MM-dd").csv(posixpath.join(csv_dir, f"{name}.csv")))
 
-    run_concurrently(one, RAW_NAMES)
+    run_concurrently(one, RAW_NAMES + list(raw.counted))

@@ -19,7 +19,7 @@ from carestar.config import TESTDATA, Profile
 from carestar.sources.tables import RawTables
 
 MONEY = "decimal(18,2)"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
 def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -186,9 +186,46 @@ def payers(t: dict[str, DataFrame], pats: DataFrame) -> DataFrame:
                     (F.col("n_regionkey").cast("double") / 4).alias("QOLS_AVG")))
 
 
+def counted(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables that are loaded and counted only, and the extra CSV."""
+    li, o, s = t["lineitem"], t["orders"], t["supplier"]
+    return {
+        "procedures": li.filter(F.col("l_linestatus") == "O").select(
+            F.col("l_shipdate").alias("DATE"), F.col("l_orderkey").alias("ENCOUNTER"),
+            F.col("l_partkey").alias("CODE"), F.col("l_returnflag").alias("DESCRIPTION"),
+            _dec("l_extendedprice").alias("BASE_COST")),
+        "immunizations": o.filter(F.col("o_orderstatus") != "F").select(
+            F.col("o_orderdate").alias("DATE"), F.col("o_custkey").alias("PATIENT"),
+            F.col("o_orderkey").alias("ENCOUNTER"), F.col("o_orderpriority").alias("DESCRIPTION"),
+            _dec("o_totalprice").alias("BASE_COST")),
+        "allergies": t["customer"].select(
+            F.col("c_custkey").alias("PATIENT"), F.col("c_mktsegment").alias("CODE"),
+            F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("DESCRIPTION"),
+            _dec("c_acctbal").alias("SCORE")),
+        # a description over two lines with a quoted word in it
+        "careplans": t["part"].select(
+            F.col("p_partkey").alias("Id"), F.col("p_size").alias("CODE"),
+            F.concat(F.col("p_name"), F.lit('\n"'), F.col("p_type"), F.lit('"')).alias("DESCRIPTION"),
+            F.col("p_brand").alias("REASON")),
+        "imaging_studies": s.select(
+            F.col("s_suppkey").alias("Id"), F.col("s_name").alias("BODYSITE"),
+            (F.col("s_nationkey") % 2 == 0).alias("CONTRAST"), _dec("s_acctbal").alias("DOSE")),
+        "observations": t["events"].select(
+            F.col("ts").alias("DATE"), F.col("user_id").alias("PATIENT"),
+            F.col("event_type").alias("CODE"), F.col("value").alias("VALUE"),
+            F.col("props").alias("UNITS")),
+        "cdc_drug_overdose": t["nation"].join(
+            t["region"], F.col("n_regionkey") == F.col("r_regionkey")).select(
+            F.col("n_name").alias("State Name"), F.col("r_name").alias("Indicator"),
+            (F.col("n_nationkey") + 1999).alias("Year"),
+            (F.col("n_nationkey") / 8).alias("Data Value")),
+    }
+
+
 def load(spark: SparkSession, sf_dir: str, profile: Profile = TESTDATA) -> RawTables:
     t = read_tables(spark, sf_dir)
     pats = patients(t)
     return RawTables(patients=pats, encounters=encounters(t), medications=medications(t),
                      conditions=conditions(t), providers=providers(t),
-                     organizations=organizations(t), payers=payers(t, pats), profile=profile)
+                     organizations=organizations(t), payers=payers(t, pats), counted=counted(t),
+                     profile=profile)

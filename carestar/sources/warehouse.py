@@ -69,11 +69,11 @@ def write_raw(raw: RawTables, root: str) -> tuple[RawTables, dict[str, int]]:
             back = spark.read.parquet(p).select(*df.columns)
         return back, back.count()
 
-    done = run_concurrently(one, RAW_NAMES + list(raw.counted))
+    done = run_concurrently(one, RAW_NAMES)
     out = {n: done[n][0] for n in done}
     rows = {n: done[n][1] for n in done}
-    counted = {n: out.pop(n) for n in list(raw.counted)}
-    return RawTables(counted=counted, profile=raw.profile, **out), rows
+    # Counted-only tables feed no join: they stay where they are.
+    return RawTables(counted=raw.counted, profile=raw.profile, **out), rows
 
 
 def write_star(star: Star, root: str, raw_rows: dict[str, int] | None = None) -> Star:
@@ -96,19 +96,19 @@ def write_star(star: Star, root: str, raw_rows: dict[str, int] | None = None) ->
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Path, lengths and modification times of the input, taken from the
+    """Path, size, number of files and modification time of every input
+    table: a few calls a table however many files it has, answered by the
     file system that Spark reads (local or remote)."""
     h = hashlib.sha1(sf_dir.encode())
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for t in sorted(testdata.TABLES):
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
         fs = p.getFileSystem(conf)
-        if not fs.exists(p):
-            h.update(t.encode())
-            continue
-        for st in sorted((x.getPath().toString(), x.getLen(), x.getModificationTime())
-                         for x in fs.listStatus(p)):
-            h.update(f"{t}:{st}".encode())
+        h.update(t.encode())
+        if fs.exists(p):
+            held = fs.getContentSummary(p)  # of all folders below
+            h.update(f"{held.getLength()}:{held.getFileCount()}:"
+                     f"{fs.getFileStatus(p).getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
@@ -128,7 +128,7 @@ _BUILT: dict[tuple, tuple[str, dict[str, int], dict[str, int]]] = {}
 
 
 def attach(spark: SparkSession, root: str, raw_rows: dict[str, int],
-           dim_rows: dict[str, int], profile=None) -> Star:
+           dim_rows: dict[str, int], profile=None, counted=None) -> Star:
     """The star over a completed build under ``root``, read in ``spark``."""
     from carestar.config import TESTDATA
     from carestar.plans.star import build_star
@@ -136,7 +136,8 @@ def attach(spark: SparkSession, root: str, raw_rows: dict[str, int],
     def rd(name):
         return spark.read.parquet(posixpath.join(root, "raw", name))
 
-    raw = RawTables(profile=profile or TESTDATA, **{n: rd(n) for n in RAW_NAMES})
+    raw = RawTables(profile=profile or TESTDATA, counted=counted or {},
+                    **{n: rd(n) for n in RAW_NAMES})
     lazy = build_star(raw)
     tables = {n: lazy.get(n) for n in DIMENSIONS + ["fact_encounter", "fact_medication"]}
     for name in WRITTEN_DIMS:
@@ -163,7 +164,8 @@ def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star
             done = (sf_dir, mark, ckpt)
             if done in _BUILT:
                 root, raw_rows, dim_rows = _BUILT[done]
-                star = attach(spark, root, raw_rows, dim_rows)
+                star = attach(spark, root, raw_rows, dim_rows,
+                              counted=testdata.counted(testdata.read_tables(spark, sf_dir)))
             else:
                 root = posixpath.join(ckpt, "carestar", spark.sparkContext.applicationId, mark)
                 raw, raw_rows = write_raw(testdata.load(spark, sf_dir), root)

@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from carestar.session import ensure_checkpoint_dir
-from carestar.sources.ingest import _exists, text_schema, typed_by_name
+from carestar.sources.csvscan import text_schema
+from carestar.sources.ingest import _exists, typed_by_name
 
 
 def ingest_new_files(spark: SparkSession, csv_dir: str, schema: StructType, out_dir: str,
@@ -19,7 +20,8 @@ def ingest_new_files(spark: SparkSession, csv_dir: str, schema: StructType, out_
     ckpt = posixpath.join(ensure_checkpoint_dir(spark), "carestar-streams", name)
     # Files are read as text in their header's column order (taken from the
     # files already there; later drops share the export format), then typed
-    # by column name like the batch ingest.
+    # by column name like the batch ingest.  A drop is small and may arrive
+    # while the stream starts, so each is parsed as a whole (``multiLine``).
     text = (spark.readStream.schema(text_schema(spark, csv_dir)).option("header", True)
             .option("escape", '"').option("multiLine", True).option("enforceSchema", False)
             .option("maxFilesPerTrigger", max_files_per_trigger).csv(csv_dir))

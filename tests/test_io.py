@@ -43,7 +43,8 @@ def test_ingest_explicit_schema_and_counts(spark, tmpdir_fresh):
     assert [(r.Id, r._corrupt_record) for r in bad] == [("a3", "BIRTHDATE")]
     assert rows["a3"].BIRTHDATE is None and rows["a3"].GENDER == "M"
     obs = spark.read.parquet(os.path.join(tmpdir_fresh, "pq", "observations"))
-    assert all(t == "string" for _, t in obs.dtypes)
+    assert dict(obs.dtypes) == {"DATE": "date", "PATIENT": "string", "CODE": "string",
+                                "VALUE": "bigint"}  # what the whole file holds
 
 
 def test_gzip_json_and_document_sinks(spark, tmpdir_fresh):
