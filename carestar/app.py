@@ -3,11 +3,12 @@
     python -m carestar.app --csv <folder of claims CSVs> --out <output folder>
 
 1. ingest every claims CSV with explicit schemas into Parquet (L0),
-2. build the star over the ingested tables (dimensions written, facts as
-   views over the year-partitioned raw tables),
+2. build the star over the ingested tables (all tables written, the facts
+   partitioned by year),
 3. write every report as Parquet, the BI tables as Parquet and CSV (L26),
-   the fact exports as gzip JSON Lines (L44-L46), and the dashboard, slicer
-   and search documents as JSON (L40, L41, L43).
+   the fact exports as gzip JSON Lines (L44-L46), the dashboard document as
+   JSON (L40), the slicer and search documents as parts with a manifest
+   (L41, L43).
 
 Every step is a distributed job; independent writes are submitted together.
 """
@@ -17,8 +18,7 @@ from __future__ import annotations
 import argparse
 import posixpath
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from carestar.config import REFERENCE, Profile
 from carestar.plans import bi, dashboard
@@ -28,16 +28,6 @@ from carestar.sources.tables import STAR_NAMES, Star
 from carestar.sources.warehouse import write_raw, write_star
 
 
-def domains_document(domains: DataFrame) -> DataFrame:
-    """Long (dimension, position, value) rows as one JSON object
-    {dimension: [values in position order]}; each list is a bounded domain."""
-    per_dim = (domains.groupBy("dimension")
-               .agg(F.array_sort(F.collect_list(F.struct("position", "value"))).alias("_v"))
-               .select("dimension", F.transform("_v", lambda s: s["value"]).alias("values")))
-    return per_dim.agg(F.to_json(F.map_from_entries(F.collect_list(
-        F.struct("dimension", "values")))).alias("document"))
-
-
 def build_from_csv(spark: SparkSession, csv_dir: str, out_dir: str,
                    profile: Profile = REFERENCE, extra: dict[str, str] | None = None) -> Star:
     """Steps 1-2: ingest and build the star; returns it."""
@@ -49,8 +39,8 @@ def build_from_csv(spark: SparkSession, csv_dir: str, out_dir: str,
     sinks.write_parquet(ingest.rejected_counts(spark, landing),
                         posixpath.join(out_dir, "reports", "rejected_rows"))
     raw = ingest.load_raw(spark, landing, profile)
-    raw, rows = write_raw(raw, posixpath.join(out_dir, "warehouse"))
-    return write_star(build_star(raw), posixpath.join(out_dir, "warehouse"), rows)
+    root = posixpath.join(out_dir, "warehouse")
+    return write_star(build_star(write_raw(raw, root)), root)
 
 
 def write_reports(star: Star, out_dir: str) -> dict[str, str]:
@@ -61,7 +51,8 @@ def write_reports(star: Star, out_dir: str) -> dict[str, str]:
     # Not reports: the star tables (already written or views), the BI tables
     # and fact exports (written below), the documents (written below), and
     # the interactive filters, which take a user's selection.
-    skip = {"dashboard_document", "slicer_domains", "search_domains", "sliced_totals",
+    skip = {"dashboard_document", "slicer_domains", "search_domains", "filters_document",
+            "search_document", "sliced_totals",
             "drug_search", "condition_cohort_fills", "leaderboard_sliced"}
     skip |= set(STAR_NAMES)
     names = [n for n in JOBS if n not in skip and not n.startswith(("bi_", "export_"))]
@@ -74,10 +65,8 @@ def write_reports(star: Star, out_dir: str) -> dict[str, str]:
     paths = run_concurrently(one, names)
     docs = posixpath.join(out_dir, "documents")
     sinks.write_document(dashboard.dashboard_document(star), posixpath.join(docs, "dashboard"))
-    sinks.write_document(domains_document(dashboard.slicer_domains(star)),
-                         posixpath.join(docs, "filters"))
-    sinks.write_document(domains_document(dashboard.search_domains(star)),
-                         posixpath.join(docs, "search"))
+    sinks.write_parts(dashboard.filters_document(star), posixpath.join(docs, "filters"))
+    sinks.write_parts(dashboard.search_document(star), posixpath.join(docs, "search"))
     paths.update(bi.export_bi(star, posixpath.join(out_dir, "exports")))
     paths.update(bi.export_facts(star, posixpath.join(out_dir, "exports")))
     return paths

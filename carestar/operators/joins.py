@@ -8,26 +8,25 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension shipped to every executor: rows counted when the table
-# was written, of a narrow projection (a few columns, ~100 bytes a row, so
-# at most ~100 MB).  Payers, dates and providers fit; patients at scale do not
-# and stay shuffle joins (AQE may still broadcast them from measured sizes).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def maybe_broadcast(df: DataFrame, known_rows: int | None,
-                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side only when its row count is known and bounded;
-    otherwise leave the choice to the optimizer and AQE, which convert to
-    a broadcast at runtime from measured shuffle sizes."""
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def dim_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str,
-             known_rows: int | None) -> DataFrame:
-    return fact.join(maybe_broadcast(dim, known_rows), on, how)
+# Largest side shipped to every executor, by the optimizer's size of its
+# plan (file sizes scaled to the columns read, in memory several times that).
+MAX_BROADCAST_BYTES = 32 << 20
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's upper estimate of the frame's size in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def maybe_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a side only when the size of its plan is bounded by
+    MAX_BROADCAST_BYTES; otherwise leave the choice to the optimizer and
+    AQE, which convert to a broadcast at runtime from measured sizes."""
+    return F.broadcast(df) if plan_bytes(df) <= MAX_BROADCAST_BYTES else df
+
+
+def dim_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str) -> DataFrame:
+    return fact.join(maybe_broadcast(dim), on, how)
 
 
 def combine_one_row(*frames: DataFrame) -> DataFrame:

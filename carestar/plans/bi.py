@@ -15,7 +15,7 @@ from carestar.sources.tables import Star
 
 
 def _dim(star: Star, name: str, cols: list) -> DataFrame:
-    return maybe_broadcast(star.get(name).select(*cols), star.dim_rows.get(name))
+    return maybe_broadcast(star.get(name).select(*cols))
 
 
 def bi_encounter(star: Star) -> DataFrame:
@@ -61,10 +61,8 @@ def bi_medication(star: Star) -> DataFrame:
     dpy = _dim(star, "dim_payer", ["payer_key", "payer_name",
                                    F.col("coverage_rate_pct").alias("payer_coverage_pct")])
     j = fm.join(dp, "patient_key", "left").join(dpy, "payer_key", "left")
-    # year(fill_date), taken from the partition column when the fills have one
-    year = F.col("fill_year") if "fill_year" in fm.columns else F.year("fill_date")
     return j.select(
-        "fill_date", year.alias("year"), F.month("fill_date").alias("month_num"),
+        "fill_date", F.col("fill_year").alias("year"), F.month("fill_date").alias("month_num"),
         "drug_description", "drug_code", out_money("base_cost").alias("base_cost"),
         out_money("payer_coverage").alias("payer_coverage"),
         out_money("total_cost").alias("total_cost"), "dispense_count", "is_completed",

@@ -83,8 +83,7 @@ def monthly_brand_trend_calendar(star: Star, k: int = 5, frame: int = 3) -> Data
 
 
 def _with_payer(fills: DataFrame, star: Star) -> DataFrame:
-    dp = maybe_broadcast(star.dim_payer.select("payer_key", "payer_name"),
-                         star.dim_rows.get("dim_payer"))
+    dp = maybe_broadcast(star.dim_payer.select("payer_key", "payer_name"))
     return fills.join(dp, "payer_key")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestar.functions.expr import avg_money, round_money
-from carestar.operators.slicers import apply_slicers, contains_ci, in_cohort
+from carestar.operators.slicers import apply_slicers, contains_ci
 from carestar.operators.topk import top_k
 from carestar.plans.bi import bi_encounter, bi_medication
 from carestar.sources.tables import Star
@@ -49,8 +49,12 @@ def condition_cohort_fills(star: Star, condition: str = "Brand#7") -> DataFrame:
     cond = star.raw.conditions.filter(F.col("DESCRIPTION") == condition)
     rec = cond.agg(F.count(F.lit(1)).alias("condition_records"),
                    F.count_distinct("PATIENT").alias("cohort_patients"))
-    fills = (in_cohort(star.fact_medication, "patient_key", cond, "PATIENT")
-             .agg(F.count(F.lit(1)).alias("cohort_fills")))
+    # Fills are counted per patient before they meet the cohort (combined
+    # before the shuffle): no fill is shuffled, only a row per patient and task.
+    per_patient = star.fact_medication.groupBy("patient_key").agg(F.count(F.lit(1)).alias("_n"))
+    cohort = cond.select(F.col("PATIENT").alias("patient_key")).distinct()
+    fills = (per_patient.join(cohort, "patient_key")
+             .agg(F.coalesce(F.sum("_n"), F.lit(0).cast("long")).alias("cohort_fills")))
     from carestar.operators.joins import combine_one_row
     return combine_one_row(rec, fills).select(F.lit(condition).alias("condition"),
                                               "condition_records", "cohort_patients",

@@ -74,27 +74,28 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return _date_attributes(days)
 
 
-def fact_date_bounds(raw: RawTables) -> DataFrame:
+def fact_date_bounds(raw: RawTables, facts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row: Jan 1 of the first and Dec 31 of the last year any encounter
     or fill falls in (partial min/max aggregates, one tiny shuffle).  Written
-    raw facts carry year(START) as their partition column; its min/max need
-    no timestamp data, only the partition values."""
-    def years(df: DataFrame) -> DataFrame:
-        y = F.col("start_year") if "start_year" in df.columns else F.year("START")
-        return df.select(y.alias("y"))
-    b = years(raw.encounters).unionByName(years(raw.medications)).agg(
-        F.min("y").alias("lo"), F.max("y").alias("hi"))
+    ``facts`` are partitioned by year; its min/max need no timestamp data,
+    only the partition values."""
+    if facts is None:
+        years = [df.select(F.year("START").alias("y")) for df in (raw.encounters, raw.medications)]
+    else:
+        years = [facts[0].select(F.col("year").alias("y")), facts[1].select(F.col("fill_year").alias("y"))]
+    b = years[0].unionByName(years[1]).agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     return b.select(F.make_date("lo", F.lit(1), F.lit(1)).alias("start"),
                     F.make_date("hi", F.lit(12), F.lit(31)).alias("end"))
 
 
-def dim_date(raw: RawTables, spark: SparkSession | None = None) -> DataFrame:
+def dim_date(raw: RawTables, spark: SparkSession | None = None,
+             facts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """The date dimension over the profile's bounds; an end that the
     profile leaves open is that of the years the facts cover."""
     prof = raw.profile
     if prof.spine_start is not None and prof.spine_end is not None:
         return date_spine(spark or raw.patients.sparkSession, prof.spine_start, prof.spine_end)
-    bounds = fact_date_bounds(raw)
+    bounds = fact_date_bounds(raw, facts)
     for name, fixed in (("start", prof.spine_start), ("end", prof.spine_end)):
         if fixed is not None:
             bounds = bounds.withColumn(name, to_date_lit(fixed))
@@ -115,9 +116,6 @@ def fact_encounter(raw: RawTables) -> DataFrame:
     e = raw.encounters
     start = F.col("START").cast("timestamp_ntz")
     total, cov = F.col("TOTAL_CLAIM_COST"), F.col("PAYER_COVERAGE")
-    # Written raw encounters carry year(START) as their partition column;
-    # using it keeps year filters on the fact partition-pruning.
-    year = F.col("start_year") if "start_year" in e.columns else F.year(start)
     return e.select(
         F.col("Id").alias("encounter_key"), F.col("PATIENT").alias("patient_key"),
         F.col("PROVIDER").alias("provider_key"), F.col("PAYER").alias("payer_key"),
@@ -125,7 +123,7 @@ def fact_encounter(raw: RawTables) -> DataFrame:
         F.col("ENCOUNTERCLASS").alias("encounter_class"), F.col("CODE").alias("encounter_code"),
         F.col("DESCRIPTION").alias("encounter_description"),
         start.cast("date").alias("encounter_date"), date_key(start).alias("date_key"),
-        year.alias("year"), F.month(start).alias("month_num"),
+        F.year(start).alias("year"), F.month(start).alias("month_num"),
         money("BASE_ENCOUNTER_COST").alias("base_cost"),
         money(total).alias("total_claim_cost"), money(cov).alias("payer_coverage"),
         money(total - cov).alias("patient_responsibility"),
@@ -135,11 +133,9 @@ def fact_encounter(raw: RawTables) -> DataFrame:
 
 
 def fact_medication(raw: RawTables) -> DataFrame:
-    """One row per medication fill."""
+    """One row per medication fill; ``fill_year`` is the partition
+    column of the written table, so year slicers on fills prune files."""
     m = raw.medications
-    # Written raw fills carry year(START) as their partition column; it rides
-    # along as ``fill_year`` so year slicers on fills prune files.
-    extra = [F.col("start_year").alias("fill_year")] if "start_year" in m.columns else []
     return m.select(
         F.col("START").alias("fill_date"), date_key("START").alias("date_key"),
         F.col("PATIENT").alias("patient_key"), F.col("PAYER").alias("payer_key"),
@@ -150,7 +146,7 @@ def fact_medication(raw: RawTables) -> DataFrame:
         money("BASE_COST").alias("base_cost"), money("PAYER_COVERAGE").alias("payer_coverage"),
         money("TOTALCOST").alias("total_cost"), F.col("DISPENSES").alias("dispense_count"),
         flag(F.col("STOP").isNotNull()).alias("is_completed"),
-        *extra,
+        F.year("START").alias("fill_year"),
     )
 
 

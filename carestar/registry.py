@@ -97,6 +97,8 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "slicer_domains": dashboard.slicer_domains,
     "frequent_drug_classes": dashboard.frequent_drug_classes,
     "search_domains": dashboard.search_domains,
+    "filters_document": dashboard.filters_document,
+    "search_document": dashboard.search_document,
     "payer_covered_vs_uncovered": dashboard.payer_covered_vs_uncovered,
     "patient_distribution": dashboard.patient_distribution,
     "provider_geography": dashboard.provider_geography,

@@ -34,3 +34,14 @@ def write_gzip_json(df: DataFrame, path: str) -> None:
 def write_document(doc: DataFrame, path: str, column: str = "document") -> None:
     """A one-row, one-column JSON text frame as a single text file."""
     doc.select(F.col(column)).coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_parts(parts: DataFrame, path: str) -> None:
+    """A document in ordered parts (dimension, part, items) as JSON Lines
+    under ``parts``, and a ``manifest`` with every dimension's number of
+    parts: a list of any length is written by many tasks."""
+    written = f"{path}/parts"
+    parts.write.mode("overwrite").option("compression", "none").json(written)
+    back = parts.sparkSession.read.schema(parts.schema).json(written)
+    (back.groupBy("dimension").agg(F.count(F.lit(1)).alias("parts"))
+     .write.mode("overwrite").json(f"{path}/manifest"))

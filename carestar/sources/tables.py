@@ -47,9 +47,6 @@ class Star:
     fact_encounter: DataFrame
     fact_medication: DataFrame
     raw: RawTables
-    # Row counts of the dimensions when known (recorded when the star is
-    # written); used to prove a size bound before broadcasting.
-    dim_rows: dict[str, int] = field(default_factory=dict)
 
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -1,14 +1,14 @@
-"""Write the raw tables once, read them back for every job.
-
-This is the reference's build step (CTAS of raw and star tables) as
-Parquet: the joins of the role mapping run once per process and input, the
-dimensions that need joins or aggregates (provider, payer, date, diagnosis)
-are written too, and the facts and the patient dimension are views over the
-written raw tables (encounters and fills partitioned by year).  Every job
-then scans narrow, pruned, pushed-down Parquet.  The folder lives under the
-session's shared checkpoint directory, so executors on any host see it and a
-lost executor only re-runs its own write tasks; a later session of the same
-process re-attaches to a completed build instead of writing it again.
+"""Write the raw and star tables once, read them back for every job.
+
+The build step (tables dropped and written anew) as Parquet: the joins of
+the role mapping run once per process and input, and every star table is
+written with its final columns.  The facts are partitioned by year and
+sorted inside their partitions, so that year filters prune files and the
+statistics of row groups serve filters on drugs, classes and money.  Every
+job then scans narrow, pruned, pushed-down Parquet.  The folder lives under
+the session's shared checkpoint directory, so executors on any host see it
+and a lost executor only re-runs its own write tasks; a later session of the
+same process re-attaches to a completed build instead of writing it again.
 """
 
 from __future__ import annotations
@@ -25,74 +25,60 @@ from carestar.sources.concurrent import run_concurrently
 from carestar.sources import testdata
 from carestar.sources.tables import RAW_NAMES, RawTables, Star
 
-# Raw fact tables are partitioned by the year of START, so year filters on
-# the facts (which are projections of them) prune files.
-RAW_PARTITIONED = {"encounters": "START", "medications": "START"}
-YEAR_COL = "start_year"
-# Star tables that need joins, aggregates or a scan for their bounds are
-# written; the others are projections of one raw table and stay views.
-WRITTEN_DIMS = ["dim_provider", "dim_payer", "dim_date", "dim_diagnosis"]
+# Facts: (partition column, order of the rows inside a partition).
+FACTS = {"fact_encounter": ("year", ["encounter_class", "total_claim_cost"]),
+         "fact_medication": ("fill_year", ["drug_description", "total_cost"])}
 DIMENSIONS = ["dim_patient", "dim_provider", "dim_payer", "dim_date", "dim_diagnosis"]
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple, Star] = {}
 
 
-def _write(df: DataFrame, path: str, partition_col: str | None = None) -> None:
+def _write(df: DataFrame, path: str, partition_col: str | None = None,
+           order: list[str] | None = None) -> None:
     # static: a re-run leaves no partition of an earlier run behind
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         # Cluster rows by the partition column before writing: without it
         # every write task emits one file per year it holds (tasks x years
         # small files).  REBALANCE lets AQE split a hot year over several
         # tasks and coalesce small ones, so files come out near the
         # advisory partition size.
-        w = (df.hint("rebalance", partition_col).write.mode("overwrite")
-             .option("partitionOverwriteMode", "static").partitionBy(partition_col))
-    w.parquet(path)
+        df = df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, *(order or []))
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(partition_col) if partition_col else w).parquet(path)
 
 
-def write_raw(raw: RawTables, root: str) -> tuple[RawTables, dict[str, int]]:
-    """Write every raw table once; return them read back and their row counts
-    (global counts, answered from Parquet footers)."""
+def write_raw(raw: RawTables, root: str) -> RawTables:
+    """Write every raw table once; return them read back.  Counted-only
+    tables feed no join and stay where they are."""
     spark = raw.patients.sparkSession
 
     def one(name):
-        df = raw.get(name)
         p = posixpath.join(root, "raw", name)
-        ts = RAW_PARTITIONED.get(name)
-        if ts:
-            _write(df.withColumn(YEAR_COL, F.year(ts)), p, YEAR_COL)
-            back = spark.read.parquet(p).select(*df.columns, YEAR_COL)
-        else:
-            _write(df, p)
-            back = spark.read.parquet(p).select(*df.columns)
-        return back, back.count()
+        _write(raw.get(name), p)
+        return spark.read.parquet(p).select(*raw.get(name).columns)
 
     done = run_concurrently(one, RAW_NAMES)
-    out = {n: done[n][0] for n in done}
-    rows = {n: done[n][1] for n in done}
-    # Counted-only tables feed no join: they stay where they are.
-    return RawTables(counted=raw.counted, profile=raw.profile, **out), rows
+    return RawTables(counted=raw.counted, profile=raw.profile, **done)
 
 
-def write_star(star: Star, root: str, raw_rows: dict[str, int] | None = None) -> Star:
-    """Write the dimensions that are not plain projections; keep the facts
-    and the patient dimension as views over the written raw tables."""
+def write_star(star: Star, root: str) -> Star:
+    """Write every star table (facts first: the date dimension's bounds are
+    their partition values); return the star read back."""
+    from carestar.plans.star import dim_date
+
     spark = star.fact_medication.sparkSession
-    tables = {n: star.get(n) for n in DIMENSIONS + ["fact_encounter", "fact_medication"]}
-    def one(name):
+
+    def one(name, df=None):
+        df = star.get(name) if df is None else df
         p = posixpath.join(root, "star", name)
-        _write(star.get(name), p)
-        back = spark.read.parquet(p).select(*star.get(name).columns)
-        return back, back.count()
+        _write(df, p, *FACTS.get(name, ()))
+        return spark.read.parquet(p).select(*df.columns)
 
-    done = run_concurrently(one, WRITTEN_DIMS)
-    rows = {n: done[n][1] for n in WRITTEN_DIMS}
-    tables.update({n: done[n][0] for n in WRITTEN_DIMS})
-    if raw_rows:
-        rows["dim_patient"] = raw_rows["patients"]
-    return Star(raw=star.raw, dim_rows=rows, **tables)
+    tables = run_concurrently(one, [*FACTS, *[d for d in DIMENSIONS if d != "dim_date"]])
+    facts = tables["fact_encounter"], tables["fact_medication"]
+    tables["dim_date"] = one("dim_date", dim_date(star.raw, spark, facts))
+    return Star(raw=star.raw, **tables)
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -113,39 +99,32 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 def build(spark: SparkSession, sf_dir: str, root: str) -> Star:
-    """Map the test tables, write the raw tables and the derived dimensions
-    under ``root`` and return the star over them."""
+    """Map the test tables, write the raw tables and the star under ``root``
+    and return the star over them."""
     from carestar.plans.star import build_star
 
-    raw, raw_rows = write_raw(testdata.load(spark, sf_dir), root)
-    return write_star(build_star(raw), root, raw_rows)
+    return write_star(build_star(write_raw(testdata.load(spark, sf_dir), root)), root)
 
 
-# Builds completed by this process: (input, checkpoint folder) -> (root,
-# row counts).  A later session of the same process re-attaches to the
-# written Parquet instead of rebuilding (the files stay; this code wrote them).
-_BUILT: dict[tuple, tuple[str, dict[str, int], dict[str, int]]] = {}
+# Builds completed by this process: (input, mark, checkpoint folder) -> root.
+# A later session of the same process re-attaches to the written Parquet
+# instead of rebuilding (the files stay; this code wrote them).
+_BUILT: dict[tuple, str] = {}
 
 
-def attach(spark: SparkSession, root: str, raw_rows: dict[str, int],
-           dim_rows: dict[str, int], profile=None, counted=None) -> Star:
+def attach(spark: SparkSession, root: str, profile=None, counted=None) -> Star:
     """The star over a completed build under ``root``, read in ``spark``."""
     from carestar.config import TESTDATA
     from carestar.plans.star import build_star
 
-    def rd(name):
-        return spark.read.parquet(posixpath.join(root, "raw", name))
+    def rd(kind, name):
+        return spark.read.parquet(posixpath.join(root, kind, name))
 
     raw = RawTables(profile=profile or TESTDATA, counted=counted or {},
-                    **{n: rd(n) for n in RAW_NAMES})
-    lazy = build_star(raw)
-    tables = {n: lazy.get(n) for n in DIMENSIONS + ["fact_encounter", "fact_medication"]}
-    for name in WRITTEN_DIMS:
-        tables[name] = (spark.read.parquet(posixpath.join(root, "star", name))
-                        .select(*lazy.get(name).columns))
-    rows = dict(dim_rows)
-    rows.setdefault("dim_patient", raw_rows.get("patients"))
-    return Star(raw=raw, dim_rows=rows, **tables)
+                    **{n: rd("raw", n) for n in RAW_NAMES})
+    lazy = build_star(raw)  # for the columns' order
+    return Star(raw=raw, **{n: rd("star", n).select(*lazy.get(n).columns)
+                            for n in [*FACTS, *DIMENSIONS]})
 
 
 def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star:
@@ -160,23 +139,31 @@ def star_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star
         if key in _CACHE:
             return _CACHE[key]
         if materialize:
-            ckpt = ensure_checkpoint_dir(spark)
-            done = (sf_dir, mark, ckpt)
+            done = (sf_dir, mark, ensure_checkpoint_dir(spark))
             if done in _BUILT:
-                root, raw_rows, dim_rows = _BUILT[done]
-                star = attach(spark, root, raw_rows, dim_rows,
+                star = attach(spark, _BUILT[done],
                               counted=testdata.counted(testdata.read_tables(spark, sf_dir)))
             else:
-                root = posixpath.join(ckpt, "carestar", spark.sparkContext.applicationId, mark)
-                raw, raw_rows = write_raw(testdata.load(spark, sf_dir), root)
-                star = write_star(build_star(raw), root, raw_rows)
-                _BUILT[done] = (root, raw_rows, dict(star.dim_rows))
+                root = star_root(spark, mark)
+                star = build(spark, sf_dir, root)
+                _BUILT[done] = root
         else:
             star = build_star(testdata.load(spark, sf_dir))
         _CACHE[key] = star
         return star
 
 
+def star_root(spark: SparkSession, mark: str) -> str:
+    return posixpath.join(ensure_checkpoint_dir(spark), "carestar",
+                          spark.sparkContext.applicationId, mark)
+
+
+def built_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the written star of ``sf_dir`` (written where it is not)."""
+    star_for(spark, sf_dir)
+    return _BUILT[(sf_dir, _fingerprint(spark, sf_dir), ensure_checkpoint_dir(spark))]
+
+
 def work_dir(spark: SparkSession, sf_dir: str, *parts: str) -> str:
     """A folder for job outputs (exports, documents) next to the star."""
     return posixpath.join(ensure_checkpoint_dir(spark), "carestar",

@@ -23,8 +23,13 @@ def test_pipeline_from_csv(spark, tmpdir_fresh):
     orphans = {r.check_name: r.violations
                for r in spark.read.parquet(paths["orphan_checks"]).collect()}
     assert orphans["orphan_encounters_no_patient"] == 1
-    (doc,) = glob.glob(os.path.join(out, "documents", "filters", "part-*"))
-    filters = json.loads(open(doc).read())
+    filters = {}
+    for r in sorted(spark.read.json(os.path.join(out, "documents", "filters", "parts")).collect(),
+                    key=lambda r: (r["dimension"], r["part"])):
+        filters.setdefault(r["dimension"], []).extend(json.loads(r["items"]))
+    manifest = {r["dimension"]: r["parts"] for r in
+                spark.read.json(os.path.join(out, "documents", "filters", "manifest")).collect()}
+    assert manifest == dict.fromkeys(filters, 1)
     assert filters["payers"] == ["Medicare", "NO_INSURANCE"]
     assert filters["years"] == ["2019", "2020", "2021"]  # 2005 is before the spine
     (dash,) = glob.glob(os.path.join(out, "documents", "dashboard", "part-*"))

@@ -146,10 +146,9 @@ def test_star_reattaches_in_a_new_session_without_rebuilding(spark):
     s1 = warehouse.star_for(spark, sf)
     done = [v for k, v in warehouse._BUILT.items() if k[0].endswith("sf0.001")]
     assert len(done) == 1
-    root, raw_rows, dim_rows = done[0]
-    s2 = warehouse.attach(spark, root, raw_rows, dim_rows)
-    assert s2.fact_medication.count() == s1.fact_medication.count() == raw_rows["medications"]
-    assert s2.dim_rows == s1.dim_rows
+    s2 = warehouse.attach(spark, done[0])
+    assert s2.fact_medication.count() == s1.fact_medication.count() == s1.raw.medications.count()
+    assert [s2.get(n).schema for n in warehouse.DIMENSIONS] == [s1.get(n).schema for n in warehouse.DIMENSIONS]
     assert sorted(s2.dim_date.collect()) == sorted(s1.dim_date.collect())
 
 

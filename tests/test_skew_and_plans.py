@@ -8,6 +8,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from carestar.config import REFERENCE
 from carestar.plans import brand, conditions, quality
@@ -109,7 +110,13 @@ def test_orphans_on_skewed_keys(skewed):
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # whole paths
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
 
 
 def test_year_slicer_prunes_raw_partitions(spark):
@@ -119,7 +126,7 @@ def test_year_slicer_prunes_raw_partitions(spark):
     s = star_for(spark, "/root/testdata/sf0.001")
     for df in (bi_encounter(s), bi_medication(s)):
         plan = _plan(apply_slicers(df, {"year": [1996, 1997]}))
-        assert re.search(r"PartitionFilters: \[start_year#\d+ IN \(1996,1997\)\]", plan)
+        assert re.search(r"PartitionFilters: \[(fill_)?year#\d+ IN \(1996,1997\)\]", plan)
 
 
 def test_no_cross_join_anywhere(spark):
@@ -132,22 +139,25 @@ def test_no_cross_join_anywhere(spark):
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 
 
-def test_only_bounded_sides_are_broadcast_hinted(spark):
-    """Fact-sized frames are never hinted: a star whose dimension sizes are
-    unknown gets no broadcast hint on any dimension."""
+def test_only_sides_of_a_bounded_size_are_broadcast_hinted(spark):
+    """By bytes, not rows: a narrow side is hinted, a wide one with fewer
+    rows is not, nor one of unknown size."""
     from carestar.operators.joins import maybe_broadcast
-    df = spark.range(10)
-    assert "broadcast" not in maybe_broadcast(df, None)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in maybe_broadcast(df, 10**9)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" in maybe_broadcast(df, 10)._jdf.queryExecution().logical().toString().lower()
+
+    def hinted(df):
+        return "broadcast" in maybe_broadcast(df)._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(spark.range(1_000_000))
+    wide = spark.range(900_000).select(*[F.col("id").cast("string").alias(f"c{i}") for i in range(20)])
+    assert not hinted(wide) and not hinted(spark.range(1 << 40))
+    assert not hinted(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int"))
 
 
-def test_aqe_splits_hot_key_partition_in_bi_join(spark, skewed):
+def test_aqe_splits_hot_key_partition_in_bi_join(spark, skewed, monkeypatch):
     """A patient holding a third of the fills (and NULL keys) in the BI left
     join: with broadcast off, AQE marks the sort-merge join as a skew join
     and splits the hot partition; the result keeps every fill."""
-    from dataclasses import replace
-
+    from carestar.operators import joins
     from carestar.plans.bi import bi_medication
     star, meds, _, _ = skewed
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -160,7 +170,8 @@ def test_aqe_splits_hot_key_partition_in_bi_join(spark, skewed):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = bi_medication(replace(star, dim_rows={}))
+        monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
+        df = bi_medication(star)
         rows = df.collect()  # runs this DataFrame's own adaptive plan to its final form
         assert len(rows) == len(meds)
         final = df._jdf.queryExecution().executedPlan().toString()
@@ -172,3 +183,98 @@ def test_aqe_splits_hot_key_partition_in_bi_join(spark, skewed):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_cost_filter_reaches_the_scan_of_the_fills(spark):
+    """Written facts hold their final money columns, so Parquet statistics
+    serve the filter."""
+    from carestar.plans import conditions as cond
+    from carestar.sources.warehouse import star_for
+    star = star_for(spark, SF)
+    for job in (brand.brand_leaderboard, brand.payer_coverage_rate, brand.drug_class_revenue,
+                brand.payer_coverage_by_brand, brand.top_drugs_by_revenue,
+                cond.condition_encounter_cost):
+        plan = _plan(job(star))
+        assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(total_(claim_)?cost,0.00\)", plan), job.__name__
+
+
+def test_facts_are_partitioned_and_sorted(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    from carestar.sources.warehouse import built_root
+    root = built_root(spark, SF).removeprefix("file:")
+    files = glob.glob(f"{root}/star/fact_medication/fill_year=*/*.parquet")
+    assert len({f.split("fill_year=")[1].split("/")[0] for f in files}) == 7
+    for f in files:
+        t = pq.read_table(f, columns=["drug_description", "total_cost"], partitioning=None).to_pylist()
+        keys = [(r["drug_description"], r["total_cost"]) for r in t]
+        assert keys == sorted(keys)
+
+
+def test_cohort_shuffles_no_fill(spark, monkeypatch):
+    """Only a row per patient and task leaves the scan of the fills, also
+    where the cohort is too large to broadcast."""
+    from carestar.plans.filters import condition_cohort_fills
+    from carestar.sources.warehouse import star_for
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = _plan(condition_cohort_fills(star_for(spark, SF))).split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    (scan,) = [i for i, x in enumerate(lines) if "/fact_medication" in x]
+    above = [x for x in lines[:scan][::-1] if "Project" not in x and "Filter" not in x]
+    assert "partial_count(1)" in above[0], lines
+
+
+def test_dashboard_reads_every_table_at_most_twice(spark, monkeypatch):
+    """Large tables are read by the groupings only, once each."""
+    from carestar.operators import ranking
+    from carestar.plans import dashboard
+    from carestar.sources.warehouse import star_for
+    made = []
+
+    def kept(df):
+        made.append(_plan(df))
+        return ranking.written_once(df)
+
+    monkeypatch.setattr(dashboard, "written_once", kept)
+    star = star_for(spark, SF)
+    plans = [_plan(dashboard.dashboard_document(star)), *made]
+    assert len(made) == 4
+
+    def scans(table):
+        return sum(p.count(f"/{table}]") + p.count(f"/{table},") for p in plans)
+
+    for table in ("fact_medication", "fact_encounter", "conditions", "dim_patient"):
+        assert scans(table) == 1, (table, scans(table))
+    assert scans("dim_provider") <= 2 and scans("dim_payer") <= 2
+
+
+def test_positions_number_the_whole_order_over_many_tasks(spark):
+    from carestar.operators.ranking import positions
+    rng = random.Random(3)
+    rows = [(f"v{rng.randint(0, 10 ** 6)}-{i}", rng.randint(0, 5)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "value string, n int").repartition(6)
+    got = positions(df, [F.col("n").desc(), F.col("value")])
+    assert "SinglePartition" not in _plan(got.drop("position"))
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    assert [(r.value, r.n) for r in sorted(got.collect(), key=lambda r: r.position)] == want
+    assert sorted(r.position for r in got.collect()) == list(range(1, 4001))
+    assert positions(df.where("1 = 0"), [F.col("value")]).collect() == []
+
+
+def test_long_lists_are_written_in_parts(spark):
+    import json
+
+    from carestar.plans import dashboard
+    rows = [("a", i + 1, f"v{i:05d}") for i in range(2500)] + [("b", 1, 'x"y')]
+    df = spark.createDataFrame(rows, "dimension string, position long, value string").repartition(4)
+    parts = {(r.dimension, r.part): json.loads(r["items"]) for r in dashboard.document_parts(df).collect()}
+    assert {k: len(v) for k, v in parts.items()} == {("a", 0): 1000, ("a", 1): 1000, ("a", 2): 500, ("b", 0): 1}
+    assert parts["a", 0] + parts["a", 1] + parts["a", 2] == [f"v{i:05d}" for i in range(2500)]
+    assert parts["b", 0] == ['x"y']

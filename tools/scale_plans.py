@@ -20,8 +20,7 @@ JOBS = ["brand_leaderboard", "brand_by_state", "condition_encounter_cost", "orph
 
 
 def main():
-    from dataclasses import replace
-
+    from carestar.operators import joins
     from carestar.registry import JOBS as REG
     from carestar.session import build_session
     from carestar.sources.warehouse import star_for
@@ -30,12 +29,11 @@ def main():
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     star = star_for(spark, sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01")
-    # Only the payer and date dimensions keep their (bounded) sizes.
-    star = replace(star, dim_rows={k: v for k, v in star.dim_rows.items()
-                                   if k in ("dim_payer", "dim_date")})
+    # The patients are too many to broadcast, as at 100 TB.
+    joins.MAX_BROADCAST_BYTES = joins.plan_bytes(star.dim_patient.select("patient_key")) - 1
     out = ["# Physical plans at scale", "",
-           "Generated by `tools/scale_plans.py`: automatic broadcast off, patient and provider",
-           "dimensions of unknown size (as at 100 TB).  Paths shortened.", ""]
+           "Generated by `tools/scale_plans.py`: automatic broadcast off, the patient dimension",
+           "above the size that is broadcast (as at 100 TB).  Paths shortened.", ""]
     for name in JOBS:
         df = REG[name](star)
         plan = df._jdf.queryExecution().executedPlan().toString()
