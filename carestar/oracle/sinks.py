@@ -48,6 +48,16 @@ _BI = {
 }
 SQL["export_bi_parquet"] = with_star("\nUNION ALL\n".join(
     _digest(n, f"({sql})", kinds) for n, (sql, kinds) in _BI.items()))
+SQL["catalog_views"] = with_star("""
+SELECT 'encounters' AS fact, payer_name, age_band, day_type, count(*) AS records,
+  cast(sum(total_claim_cost) AS double) AS cost
+FROM fact_encounter LEFT JOIN dim_payer USING (payer_key) LEFT JOIN dim_patient USING (patient_key)
+  LEFT JOIN dim_date USING (date_key)
+GROUP BY ALL
+UNION ALL
+SELECT 'fills', payer_name, age_band, NULL, count(*), cast(sum(total_cost) AS double)
+FROM fact_medication LEFT JOIN dim_payer USING (payer_key) LEFT JOIN dim_patient USING (patient_key)
+WHERE date_key >= 19980101 GROUP BY ALL""")
 SQL["export_bi_csv"] = SQL["export_bi_parquet"]
 
 _FACTS = {

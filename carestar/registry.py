@@ -202,3 +202,23 @@ def _ingest_roundtrip(spark, sf_dir, s: Star) -> DataFrame:
 
 
 SINK_JOBS["ingest_roundtrip"] = _ingest_roundtrip
+
+
+def _catalog_views(spark, sf_dir, s: Star) -> DataFrame:
+    """The star as tables of the catalog, both wide views queried in SQL."""
+    from carestar.sources import catalog
+    from carestar.sources.warehouse import built_root
+    root = built_root(spark, sf_dir)
+    database = f"carestar_{root.rstrip('/').rpartition('/')[2]}"
+    catalog.register(spark, root, database)
+    return spark.sql(f"""
+        SELECT 'encounters' AS fact, payer_name, age_band, day_type, COUNT(*) AS records,
+               CAST(SUM(CAST(total_claim_cost AS DECIMAL(18,2))) AS DOUBLE) AS cost
+        FROM {database}.v_bi_encounter GROUP BY payer_name, age_band, day_type
+        UNION ALL
+        SELECT 'fills', payer_name, age_band, NULL, COUNT(*),
+               CAST(SUM(CAST(total_cost AS DECIMAL(18,2))) AS DOUBLE)
+        FROM {database}.v_bi_medication WHERE year >= 1998 GROUP BY payer_name, age_band""")
+
+
+SINK_JOBS["catalog_views"] = _catalog_views

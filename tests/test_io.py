@@ -127,3 +127,23 @@ def test_ingest_claims_csv_format(spark, tmpdir_fresh):
     assert e["e2"].DESCRIPTION == "Emergency room admission, first"
     assert e["e2"].TOTAL_CLAIM_COST == Decimal("1234.5678")
     assert all(r._corrupt_record is None for r in e.values())
+
+
+def test_catalog_tables_and_views_are_dropped_and_recreated(spark):
+    """Tables and views of the catalog hold what the jobs return; a second
+    registration replaces the first."""
+    from carestar.plans.bi import bi_encounter, bi_medication
+    from carestar.sources import catalog
+    from carestar.sources.warehouse import built_root, star_for
+    sf = "/root/testdata/sf0.001"
+    star, root = star_for(spark, sf), built_root(spark, sf)
+    for _ in range(2):
+        names = catalog.register(spark, root, "carestar_test")
+    assert spark.table("carestar_test.fact_medication").count() == star.fact_medication.count()
+    for view, job in (("v_bi_encounter", bi_encounter), ("v_bi_medication", bi_medication)):
+        df = job(star)
+        got = spark.table(f"carestar_test.{view}").select(df.columns)
+        assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0
+    assert {t.name for t in spark.catalog.listTables("carestar_test")} >= {n.split(".")[1] for n in names}
+    plan = spark.sql("SELECT * FROM carestar_test.v_bi_medication WHERE year = 1997")
+    assert "fill_year" in plan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
