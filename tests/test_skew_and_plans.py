@@ -278,3 +278,22 @@ def test_long_lists_are_written_in_parts(spark):
     assert {k: len(v) for k, v in parts.items()} == {("a", 0): 1000, ("a", 1): 1000, ("a", 2): 500, ("b", 0): 1}
     assert parts["a", 0] + parts["a", 1] + parts["a", 2] == [f"v{i:05d}" for i in range(2500)]
     assert parts["b", 0] == ['x"y']
+
+
+def test_sliced_facts_equal_the_filtered_wide_tables(spark):
+    from carestar.operators.slicers import apply_slicers
+    from carestar.plans.bi import bi_encounter, bi_medication
+    from carestar.plans.filters import sliced
+    from carestar.sources.warehouse import star_for
+    star = star_for(spark, SF)
+    for selection in ({}, {"age_band": []}, {"payer_name": ["PAYER_1", "PAYER_7"], "year": [1997, 1999]},
+                      {"age_band": ["35-49", None], "patient_gender": ["F"], "month_num": [1, 2, 3]},
+                      {"day_type": ["Weekend"], "provider_state": ["ASIA"], "quarter": [2]},
+                      {"patient_state": ["nowhere"]}):
+        for fact, wide, cost in (("fact_encounter", bi_encounter, "total_claim_cost"),
+                                 ("fact_medication", bi_medication, "total_cost")):
+            df = wide(star)
+            known = {k: v for k, v in selection.items() if k in df.columns}
+            want = apply_slicers(df, known).agg(F.count("*"), F.sum(F.col(cost).cast("decimal(18,2)")))
+            got = sliced(star, fact, selection).agg(F.count("*"), F.sum(cost))
+            assert [str(x) for x in got.first()] == [str(x) for x in want.first()], (fact, selection)
