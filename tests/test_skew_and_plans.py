@@ -110,13 +110,9 @@ def test_orphans_on_skewed_keys(skewed):
 
 
 def _plan(df):
-    spark = df.sparkSession
-    before = spark.conf.get("spark.sql.maxMetadataStringLength")
-    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # whole paths
-    try:
-        return df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    # whole paths (left on: plans are also asked for by several threads)
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_year_slicer_prunes_raw_partitions(spark):
