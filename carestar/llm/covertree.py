@@ -23,6 +23,9 @@ one edge to the smallest vector it is connected to there, never the pairs.
 Null ids: component null, kept false, no links.  Rows that repeat an id with
 another vector are one vertex whose links add up.  Empty table: no rows.
 
+Components of any finite size count: a vector is scaled by its largest
+component before it is squared.
+
 The work is quadratic in blocks that the bounds cannot separate, which is
 inherent in exact thresholds on vectors without structure.
 """
@@ -41,11 +44,12 @@ PIVOTS = 512
 BLOCK = 3000
 LEAF = 64        # rows a local tree does not split further
 DENSE = 0.25     # share of surviving node pairs above which rows are compared at once
-SLACK = 1e-9     # rounding of distances, on the safe side
+SLACK = 1e-7     # rounding of distances (sqrt(2 - 2x) near 0 included), on the safe side
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     v = vectors.astype(np.float64)
+    v = v / np.abs(v).max(1, keepdims=True)  # squares neither overflow nor vanish
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 

@@ -291,6 +291,19 @@ def test_chat_round_trip(spark):
 
 # ---- 7: cover tree ----------------------------------------------------------
 
+def test_embedding_links_of_extreme_magnitudes(spark):
+    """Cosine does not depend on length: 1e200 and 1e-200 link as 1 does,
+    and what does not link at length 1 does not link there."""
+    from carestar.llm import covertree
+    base, near, far = [1.0, 2.0, 3.0], [1.0, 2.0, 3.3], [3.0, -1.0, 0.5]
+    data = [(10 * k + i, [x * size for x in v]) for k, size in enumerate((1.0, 1e200, 1e-200, 1e-308))
+            for i, v in enumerate((base, near, far))]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows(covertree.near_links(df))}
+    for i, _ in data:
+        assert got[i] == ((3, 2) if i % 10 == 2 else (7, 0)), (i, got[i])
+
+
 def test_embedding_links_against_brute_force(spark):
     from carestar.llm import covertree
     rng = np.random.default_rng(2)
@@ -557,6 +570,8 @@ def test_language_edges(spark, documents, no_documents):
     kept = keep_identified(documents)
     assert kept.columns == documents.columns
     assert {r["doc_id"] for r in rows(kept)}.isdisjoint({5, 6, 7, 14})
+    assert all(r["accepted"] == (r["has_letter"] and r["label_share"] >= 1 / 3 - 1e-9)
+               for r in got.values())
     assert identify(no_documents).count() == 0 and keep_identified(no_documents).count() == 0
 
 
@@ -636,11 +651,28 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() == len(done)
 
 
+def test_pipeline_on_awkward_and_empty_documents(spark, documents, no_documents, tmp_path):
+    import corpus_pipeline
+    plain = ["doc_id", "text", "lang", "source", "n_chars"]
+    for name, docs in (("some", documents), ("none", no_documents)):
+        root = tmp_path / name
+        docs.select(plain).write.parquet(f"{root}/documents.parquet")
+        out = rows(corpus_pipeline.run(spark, str(root)))
+        if name == "none":
+            assert out == []
+            continue
+        ids = {r["doc_id"] for r in out}
+        # Letterless and null texts went, of equal texts one stayed at most.
+        assert ids.isdisjoint({5, 6, 7, 14}) and len(ids & {0, 1, 2, 13}) <= 1
+        assert all(r["n_tokens"] == len(r["ids"]) for r in out)
+
+
 def test_queries_with_sql(spark):
     import duckdb
     from carestar.llm.registry import ORACLE, QUERIES
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in ORACLE.items():
         df = QUERIES[name](spark, SF)
         cur = con.execute(sql)
