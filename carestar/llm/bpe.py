@@ -27,6 +27,7 @@ null ids give a row each; extra columns are ignored.  Empty table: no rows.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from array import array
@@ -37,13 +38,13 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from carestar.llm.common import pick, read_table, slices
+from carestar.llm.common import pick, read_table, slices, small_batches
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 # Caches of a worker, in bytes as estimated: with the batch at hand (SLICE)
 # a worker stays near 300 MB whatever the texts hold.
-MACHINE_BYTES = 160 << 20  # states and transitions, then the machine starts afresh
+MACHINE_BYTES = 80 << 20  # states and transitions, then the machine starts afresh
 PAIR_BYTES = 24 << 20     # tested pairs of entries
 MEMO_BYTES = 16 << 20     # each of the two generations of a memo
 SLICE = 1 << 20           # bytes of text whose ids are held together
@@ -78,11 +79,16 @@ class Transducer:
                     self.depth.append(self.depth[at] + 1)
                 at = nxt
             self.token_at[at] = token
-        self.sides: dict[int, tuple | None] = {}
         self.pairs: dict[int, bool] = {}
         self._fresh()
 
+    def forget(self) -> None:
+        """Drop everything that was found out from texts."""
+        self.pairs.clear()
+        self._fresh()
+
     def _fresh(self) -> None:
+        self.sides: dict[int, tuple | None] = {}
         start = (0,)  # a live position: its trie node << 32 | its last token + 1
         self.states = [start]
         self.number = {start: 0}
@@ -262,6 +268,11 @@ class Codec:
         self.shown = {i: b"%d" % i for i in self.machine.bytes_of}
         self.split = regex.compile(pattern)
         self.by_word = pattern == PATTERN
+        self.forget()
+
+    def forget(self) -> None:
+        """Caches are a task's: a worker that turns to other work is small."""
+        self.machine.forget()
         # Ids of a piece, and of a word after a space.
         self.pieces = Memo(self._piece)
         self.words = Memo(self._word)
@@ -318,12 +329,19 @@ def codec(path: str = VOCABULARY) -> Codec:
 def encode_documents(docs: DataFrame, path: str = VOCABULARY, with_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and (optionally) ids."""
     ids_field = ", ids array<int>" if with_ids else ""
+    small_batches(docs)
 
     def run(batches):
         own = codec(path)
-        for batch in batches:
-            for part in slices(batch, size=SLICE):
-                yield encoded(own, part)
+        try:
+            for batch in batches:
+                for part in slices(batch, size=SLICE):
+                    yield encoded(own, part)
+                batch = part = None
+                pa.default_memory_pool().release_unused()
+        finally:
+            own.forget()
+            gc.collect()
 
     def encoded(own, part):
         table, shown = own.machine.bytes_of, own.shown

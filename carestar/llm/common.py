@@ -24,6 +24,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of text that travel to a Python worker together: batches are held on
+# both sides, so they bound an executor's memory outside its heap.
+TEXT_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> None:
+    """From now on the session sends at most TEXT_ROWS rows a batch."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+
+
 def pick(df: DataFrame, **types: str) -> DataFrame:
     """Exactly the named columns, cast to the given types.
 

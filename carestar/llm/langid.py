@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from carestar.llm.common import Tokens, id_remainder, pick, read_table, slices, stash, unstash
+from carestar.llm.common import (Tokens, id_remainder, pick, read_table, slices, small_batches,
+                                 stash, unstash)
 
 SAMPLE_ROWS = 4000      # bound of the training sample
 WORDS_PER_ROW = 24
 EMBED, HIDDEN = 12, 12
 SEGMENT = 24            # bytes a state runs on inside one word
 STEPS, BATCH, RATE = 500, 256, 0.01
+TOGETHER = 2 << 20      # bytes of text whose distinct words are labelled together
 POOL = 0.25             # neighbouring positions are not independent
 
 
@@ -209,13 +211,17 @@ def training_words(docs: DataFrame):
     return [w for w, _ in pairs], np.array([c for _, c in pairs], np.int64), classes
 
 
-OUT = "held_out boolean, has_letter boolean, lang_pred string, score double, label_share double"
+OUT = ("held_out boolean, has_letter boolean, lang_pred string, score double, label_share double, "
+       "accepted boolean")
 
 
 def identify(docs: DataFrame, with_rows: bool = False) -> DataFrame:
     """doc_id, held_out, has_letter, lang_pred, score, label_share (positions
-    whose own label is the predicted one); ``with_rows`` carries the input
-    row along as ``_row``."""
+    whose own label is the predicted one), accepted (a letter, and a share no
+    smaller than an even split among the languages would give: below it the
+    positions speak against the pooled language); ``with_rows`` carries the
+    input row along as ``_row``."""
+    small_batches(docs)
     words, labels, classes = training_words(docs)
     model = train(words, labels, len(classes)) if words else None
     d = stash(docs, doc_id="bigint", text="string")
@@ -227,13 +233,13 @@ def identify(docs: DataFrame, with_rows: bool = False) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, size=TOGETHER):
                 yield _predict(b)
 
     def _predict(b):
         letter = b.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
         pred = np.full(b.num_rows, "und", object)
-        score, share = np.zeros(b.num_rows), np.zeros(b.num_rows)
+        score, share, accepted = np.zeros(b.num_rows), np.zeros(b.num_rows), letter
         if model is not None:
             t = Tokens(b.column("text"))
             sums, votes = word_scores(model, t.vocabulary, len(classes))
@@ -250,19 +256,21 @@ def identify(docs: DataFrame, with_rows: bool = False) -> DataFrame:
             pred = np.where(letter, np.array(classes, object)[best], "und")
             score = np.where(letter, prob[rows, best], 0.0)
             share = np.where(letter, ballots[rows, best] / np.maximum(1, ballots.sum(1)), 0.0)
+            accepted = letter & (k * ballots[rows, best] >= ballots.sum(1))
         return pa.RecordBatch.from_arrays(
             [*[b.column(c) for c in kept], b.column("held_out"), b.column("has_letter"),
-             pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(share)],
-            names=[*kept, "held_out", "has_letter", "lang_pred", "score", "label_share"])
+             pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(share),
+             pa.array(accepted)],
+            names=[*kept, "held_out", "has_letter", "lang_pred", "score", "label_share", "accepted"])
 
     return d.mapInArrow(run, schema)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents that get a language (those predicted ``und`` go),
+    """The documents whose language the network is sure of (``accepted``),
     with the input's columns.  Without any language to learn from only
     texts without a letter go."""
-    found = identify(docs, with_rows=True).where("lang_pred <> 'und' or has_letter")
+    found = identify(docs, with_rows=True).where("accepted")
     return unstash(found, docs)
 
 

@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.llm.common import (WordHashes, bloom, checkpoint, gram_hashes, in_bloom, mix64, pick,
-                                 read_table, slices, stash, text_hash, unstash)
+                                 read_table, slices, small_batches, stash, text_hash, unstash)
 
 WINDOW = 13
 GRAM = 5
 SPAN = WINDOW - GRAM + 1         # grams in a window
-SHARD_PLACES = 100_000           # lookups a shard gets on average
+SHARD_PLACES = 50_000            # lookups a shard gets on average
+TOGETHER = 2 << 20               # bytes of text handled together
 HOT_SHARE = 1000
 SALT = 32
 NO_ID = np.iinfo(np.int64).max
@@ -82,7 +83,7 @@ def shared_grams(docs: DataFrame) -> DataFrame:
     """(gram, places) of the minimizers that two different documents have."""
     def run(batches):
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, size=TOGETHER):
                 words = WordHashes(b.column("text"))
                 grams, _, place = minimizers(words)
                 place = np.unique(place)
@@ -284,7 +285,7 @@ def _common_windows(docs: DataFrame, wanted, hot: np.ndarray, limit: int) -> np.
     """Hashes of the hot minimizers' windows with more than ``limit`` places."""
     def run(batches):
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, size=TOGETHER):
                 gram, _, _, seg = _segments(WordHashes(b.column("text")), wanted.value, hot)
                 seg, n = np.unique(seg[np.isin(gram, hot)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(seg), pa.array(n.astype(np.int64))],
@@ -298,6 +299,7 @@ def _common_windows(docs: DataFrame, wanted, hot: np.ndarray, limit: int) -> np.
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(d, text_id, ranges): per text the word ranges [from, to) to cut."""
     spark = docs.sparkSession
+    small_batches(docs)
     grams = shared_grams(docs)
     totals = grams.agg(F.count("*").alias("n"), F.sum("places").alias("places")).first()
     places = totals["places"] or 0
@@ -310,7 +312,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 
     def send(batches):
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, size=TOGETHER):
                 words = WordHashes(b.column("text"))
                 gram, lo, hi, seg = _segments(words, wanted.value, hot)
                 if not len(gram):
@@ -418,26 +420,30 @@ def _cut(docs: DataFrame, shown: bool) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for text, ranges in zip(batch.column("text").to_pylist(),
-                                    batch.column("ranges").to_pylist()):
-                words = (text or "").encode("utf-8").split()
-                n_words.append(len(words))
-                if ranges:
-                    gone = np.zeros(len(words) + 1, np.int64)
-                    for r in ranges:
-                        gone[r["from"]] += 1
-                        gone[r["to"]] -= 1
-                    stay = np.cumsum(gone)[:-1] == 0
-                    words = [words[i] for i in np.flatnonzero(stay).tolist()]
-                n_removed.append(n_words[-1] - len(words))
-                if not shown:
-                    kept.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                else:
-                    kept.append(b" ".join(words).decode("utf-8") if n_removed[-1] else text)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in kept_fields], pa.array(n_words, pa.int64()),
-                 pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=schema.names)
+            for part in slices(batch, size=TOGETHER):
+                yield cut(part)
+
+    def cut(part):
+        n_words, n_removed, kept = [], [], []
+        for text, ranges in zip(part.column("text"), part.column("ranges")):
+            text = text.as_py()
+            words = (text or "").encode("utf-8").split()
+            n_words.append(len(words))
+            if ranges.is_valid and len(ranges):
+                gone = np.zeros(len(words) + 1, np.int64)
+                for r in ranges.as_py():
+                    gone[r["from"]] += 1
+                    gone[r["to"]] -= 1
+                stay = np.cumsum(gone)[:-1] == 0
+                words = [words[i] for i in np.flatnonzero(stay).tolist()]
+            n_removed.append(n_words[-1] - len(words))
+            if not shown:
+                kept.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            else:
+                kept.append(b" ".join(words).decode("utf-8") if n_removed[-1] else text)
+        return pa.RecordBatch.from_arrays(
+            [*[part.column(f.name) for f in kept_fields], pa.array(n_words, pa.int64()),
+             pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=schema.names)
 
     return j.mapInArrow(run, schema)
 
