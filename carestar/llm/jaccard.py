@@ -16,10 +16,13 @@ both have, because the blocks they agree in are then empty in both.
 
 Sets, not documents, take part: equal texts meet once, under their set's
 hash.  Verification in two rounds keeps large groups linear: first every
-set against the smallest of each group of equal blocks, then only pairs
-whose sets are in different components so far and whose bit sketches'
-Hamming distance, a lower bound of the difference, does not rule them out.
-Groups are cut into chunk pairs, so none meets in one task whole.
+set against the smallest of each group of equal blocks; then sets of a group
+that are in different components so far, unless the Hamming distance of
+their bit sketches, a lower bound of the difference, rules them out.  Tasks
+send only edges that connect such candidates; what they connect meets once
+more with its shingles, is compared exactly, and sends edges that connect
+what is linked.  Pairs are never written.  Groups are cut into chunk pairs,
+so none meets in one task whole.
 
 Links: a linked pair lies in one component, so every pair of sets of a
 component is compared exactly, in chunk pairs of bounded size; the tasks
@@ -42,14 +45,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.llm.common import (WordHashes, bloom, checkpoint, components, gram_hashes, in_bloom,
-                                 mix64, pick, read_table, slices, stash, text_hash, unstash)
+                                 mix64, pick, read_table, slices, small_batches, stash, text_hash, unstash)
 
 SHINGLE = 5
 NUM, DEN = 4, 5                  # similarity 0.8 as a fraction
 SKETCH_LOAD = 2                  # bits of a set's bit sketch per element, at least
 CHUNK = 2048                     # members of a group compared at a time
 CHUNK_SHINGLES = 1 << 19         # their shingles, about, when links are counted
-MAX_HELD = 2_000_000             # rows of one block held to name its group
+MAX_HELD = 1_000_000             # rows of one block held to name its group
+TOGETHER = 2 << 20               # bytes of text whose shingles are made together
 BLOOM_WORDS = 1 << 17            # 64-bit words of the filter for round trips
 
 
@@ -147,7 +151,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, size=TOGETHER):
                 values, starts, sizes = shingle_sets(b.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("text_id"),
@@ -166,11 +170,11 @@ def block_members(docs: DataFrame) -> DataFrame:
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, size=TOGETHER):
                 values, starts, sizes = shingle_sets(b.column("text"))
                 nodes = set_ids(values, starts, sizes)
                 fresh = np.zeros(len(nodes), bool)
-                if len(seen) > 1_000_000:  # saves rows only; forgetting is harmless
+                if len(seen) > 200_000:  # saves rows only; forgetting is harmless
                     seen.clear()
                 for i, node in enumerate(nodes.tolist()):
                     if sizes[i] and node not in seen:
@@ -248,7 +252,7 @@ def _scan_sets(docs: DataFrame, wanted: DataFrame, make, schema: str) -> DataFra
     def run(batches):
         for batch in batches:
             near = batch.filter(pa.array(in_bloom(words.value, batch.column("h").to_numpy())))
-            for b in slices(near) if near.num_rows else ():
+            for b in slices(near, size=TOGETHER) if near.num_rows else ():
                 values, starts, sizes = shingle_sets(b.column("text"))
                 yield make(set_ids(values, starts, sizes), values, starts, sizes)
 
@@ -353,9 +357,10 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return checkpoint(joined.mapInArrow(run, "a bigint, b bigint").distinct())
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of different components in every group:
-    members (grp, chunks, node, component, n, sketch)."""
+def _candidates(members: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect all sets of different components in a
+    group which may be linked as far as sizes and sketches tell, fewer than
+    a task has sets; members (grp, chunks, node, component, n, sketch)."""
     side = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     # A member meets its own chunk and all others: chunk pair (i <= j).
     spread = side.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
@@ -382,7 +387,7 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
             levels[w] = level
         left = np.flatnonzero(own == i)
         right = np.flatnonzero(own == j)
-        out_a, out_b = [], []
+        joined = Joined()
         for x in left.tolist():
             r = right[node[right] > node[x]] if i == j else right
             r = r[comp[r] != comp[x]]
@@ -391,14 +396,57 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
                 q = r[np.minimum(width[r], width[x]) == w]
                 far = np.bitwise_count(levels[w][q] ^ levels[w][x]).sum(1, dtype=np.int64)
                 q = q[possible(n[q], n[x], far)]
-                out_a.append(np.minimum(node[q], node[x]))
-                out_b.append(np.maximum(node[q], node[x]))
-        cat = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
-        return pa.table({"a": cat(out_a), "b": cat(out_b)})
+                joined.add(node[x], node[q])
+        return joined.edges()
 
     return spread.groupBy("grp", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
+class Joined:
+    """Edges that connect what was linked: one where two parts meet."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+        self.a: list[int] = []
+        self.b: list[int] = []
+
+    def _root(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    def add(self, x, others) -> None:
+        x = int(x)
+        for y in others.tolist():
+            p, q = self._root(x), self._root(y)
+            if p != q:
+                self.parent[max(p, q)] = min(p, q)
+                self.a.append(x)
+                self.b.append(y)
+
+    def edges(self) -> pa.Table:
+        return pa.table({"a": pa.array(self.a, pa.int64()), "b": pa.array(self.b, pa.int64())})
+
+
+def _cross_edges(docs: DataFrame, candidates: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect whatever sets are linked along the
+    ``candidates``; nodes (node, rep, times, n).  Checkpointed.
+
+    A set meets, with its shingles, the sets that candidate edges connect
+    it to: once, in chunk pairs of bounded size where they are many."""
+    near = components(candidates).withColumnRenamed("v", "node")
+
+    def make(table, links):
+        node, joined = table.column("node").to_numpy(), Joined()
+        for x, r in links:
+            joined.add(node[x], node[r])
+        return joined.edges()
+
+    return checkpoint(_compared(docs, checkpoint(nodes.join(near, "node")), make,
+                                "a bigint, b bigint").distinct())
+
+
 def _links(values: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool):
     """(x, linked rows of ``right``) for every x of ``left``, exactly;
     ``same``: right is left, each pair once."""
@@ -511,6 +559,7 @@ def linked_pairs(docs: DataFrame) -> DataFrame:
 def _placed(docs: DataFrame):
     """The documents' sets; the sets with an id (node, rep, times, n); those
     of them that have a link, with their component.  All checkpointed."""
+    small_batches(docs)
     sets = document_sets(docs)
     nodes = checkpoint(sets.where("n_shingles > 0 and doc_id is not null").groupBy("node")
                        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("times"),
@@ -536,8 +585,7 @@ def _placed(docs: DataFrame):
              .select("grp", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")))
     rows = named.join(open_, "grp").join(sketches, "node").select(
         "grp", "chunks", "node", "component", "n", "sketch")
-    more = checkpoint(_cross_pairs(rows).join(stars, ["a", "b"], "left_anti"))
-    second = verified(docs, more, members)
+    second = _cross_edges(docs, _candidates(rows), nodes)
     final = components(first.union(second)).withColumnRenamed("v", "node")
     return sets, nodes, checkpoint(nodes.join(final, "node"))
 
