@@ -1,6 +1,6 @@
 """Oracle SQL for the star tables."""
 
-from carestar.oracle.base import with_star
+from carestar.oracle.base import WHOLE_DATE, with_star
 
 SQL = {}
 
@@ -16,7 +16,7 @@ SQL["dim_payer"] = with_star("""
 SELECT * REPLACE (cast(AMOUNT_COVERED AS double) AS AMOUNT_COVERED,
                   cast(AMOUNT_UNCOVERED AS double) AS AMOUNT_UNCOVERED) FROM dim_payer""")
 
-SQL["dim_date"] = with_star("SELECT * FROM dim_date")
+SQL["dim_date"] = with_star("SELECT * FROM whole_date", ctes=WHOLE_DATE)
 
 SQL["dim_diagnosis"] = with_star("SELECT * FROM dim_diagnosis")
 

@@ -26,7 +26,7 @@ def bi_encounter(star: Star) -> DataFrame:
     patient and provider are joined by key, where AQE broadcasts them when
     their measured size allows and splits skewed key partitions otherwise."""
     fe = star.fact_encounter
-    dd = _dim(star, "dim_date", ["date_key", "month_name", "quarter", "day_type"])
+    dd = maybe_broadcast(star.calendar().select("date_key", "month_name", "quarter", "day_type"))
     dp = _dim(star, "dim_patient", [
         "patient_key", "age_band", F.col("GENDER").alias("patient_gender"),
         F.col("RACE").alias("patient_race"), "patient_state", "is_deceased",

@@ -62,7 +62,8 @@ def sliced(star: Star, fact: str, selection: dict[str, list] | None) -> DataFram
         elif name in own or name in df.columns:
             df = df.filter(own.get(name, F.col(name)).isin(list(values)))
     for (dim, key), wanted in per_dim.items():
-        keys = apply_slicers(star.get(dim), wanted).select(key)
+        held = star.calendar() if dim == "dim_date" else star.get(dim)
+        keys = apply_slicers(held, wanted).select(key)
         df = df.join(maybe_broadcast(keys), key, "left_semi")
     return df
 

@@ -217,7 +217,7 @@ def _catalog_views(spark, sf_dir, s: Star) -> DataFrame:
     from carestar.sources.warehouse import built_root
     root = built_root(spark, sf_dir)
     database = f"carestar_{root.rstrip('/').rpartition('/')[2]}"
-    catalog.register(spark, root, database)
+    catalog.register(spark, root, database, s.raw.profile.calendar_start)
     return spark.sql(f"""
         SELECT 'encounters' AS fact, payer_name, age_band, day_type, COUNT(*) AS records,
                CAST(SUM(CAST(total_claim_cost AS DECIMAL(18,2))) AS DOUBLE) AS cost

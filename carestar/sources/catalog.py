@@ -7,6 +7,8 @@ and planned anew by every query.  A repeated run drops and creates all.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import SparkSession
 
 from carestar.sources.tables import STAR_NAMES
@@ -38,20 +40,25 @@ _VIEWS = {
 }
 
 
-def view_sql(name: str, database: str) -> str:
-    """The SELECT of a wide view: a fact with the attributes of its keys."""
+def view_sql(name: str, database: str, calendar_start: dt.date | None = None) -> str:
+    """The SELECT of a wide view: a fact with the attributes of its keys
+    (dates from ``calendar_start`` on)."""
     fact, looked, plain, money, computed = _VIEWS[name]
     columns = [f"f.{c}" for c in plain] + [f"CAST(f.{c} AS DOUBLE) AS {c}" for c in money]
     columns += [f"{expression} AS {c}" for c, expression in computed.items()]
     joins = []
     for i, (key, (dim, names)) in enumerate(looked.items()):
         own = ", ".join(f"{column} AS {c}" for c, column in names.items())
-        joins.append(f"LEFT JOIN (SELECT {key}, {own} FROM {database}.{dim}) d{i} ON f.{key} = d{i}.{key}")
+        held = f"{database}.{dim}"
+        if dim == "dim_date" and calendar_start is not None:
+            held += f" WHERE full_date >= DATE '{calendar_start}'"
+        joins.append(f"LEFT JOIN (SELECT {key}, {own} FROM {held}) d{i} ON f.{key} = d{i}.{key}")
         columns += [f"d{i}.{c}" for c in names]
     return f"SELECT {', '.join(columns)} FROM {database}.{fact} f {' '.join(joins)}"
 
 
-def register(spark: SparkSession, root: str, database: str) -> list[str]:
+def register(spark: SparkSession, root: str, database: str,
+             calendar_start: dt.date | None = None) -> list[str]:
     """Create the star tables written under ``root`` and the wide views in
     ``database`` (in place of earlier ones); returns their names."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/catalog'")
@@ -63,5 +70,5 @@ def register(spark: SparkSession, root: str, database: str) -> list[str]:
         if name in FACTS:  # the folders of the years
             spark.catalog.recoverPartitions(f"{database}.{name}")
     for view in _VIEWS:
-        spark.sql(f"CREATE VIEW {database}.{view} AS {view_sql(view, database)}")
+        spark.sql(f"CREATE VIEW {database}.{view} AS {view_sql(view, database, calendar_start)}")
     return [f"{database}.{n}" for n in [*STAR_NAMES, *_VIEWS]]

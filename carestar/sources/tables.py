@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from carestar.config import Profile, REFERENCE
 
@@ -50,3 +51,10 @@ class Star:
 
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+    def calendar(self) -> DataFrame:
+        """The date dimension from the first day that reports look up."""
+        start = self.raw.profile.calendar_start
+        if start is None:
+            return self.dim_date
+        return self.dim_date.where(F.col("full_date") >= F.lit(start))
