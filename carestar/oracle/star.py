@@ -37,7 +37,7 @@ SQL["star_row_counts"] = with_star("""
 SELECT 'dim_patient' AS tbl, count(*) AS "rows" FROM dim_patient
 UNION ALL SELECT 'dim_provider', count(*) FROM dim_provider
 UNION ALL SELECT 'dim_payer', count(*) FROM dim_payer
-UNION ALL SELECT 'dim_date', count(*) FROM dim_date
+UNION ALL SELECT 'dim_date', count(*) FROM whole_date
 UNION ALL SELECT 'dim_diagnosis', count(*) FROM dim_diagnosis
 UNION ALL SELECT 'fact_encounter', count(*) FROM fact_encounter
-UNION ALL SELECT 'fact_medication', count(*) FROM fact_medication""")
+UNION ALL SELECT 'fact_medication', count(*) FROM fact_medication""", ctes=WHOLE_DATE)
