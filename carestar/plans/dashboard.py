@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
@@ -291,10 +292,10 @@ SEARCHES = [
 ]
 
 
-def _value_counts(star: Star, domains: list[Domain]) -> DataFrame:
+def _value_counts(star: Star, domains: list[Domain], start: dt.date | None) -> DataFrame:
     """(dimension, value, n) of all domains: one scan per table, whose rows
-    name their value of every domain; counted before the shuffle."""
-    start = star.raw.profile.spine_start
+    name their value of every domain; counted before the shuffle.  Years
+    before ``start`` are not listed."""
     parts = []
     for table in dict.fromkeys(d.table for d in domains):
         df = star.raw.conditions if table == "conditions" else star.get(table)
@@ -312,10 +313,10 @@ def _value_counts(star: Star, domains: list[Domain]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _lists(star: Star, domains: list[Domain], more: DataFrame) -> DataFrame:
+def _lists(star: Star, domains: list[Domain], more: DataFrame, start: dt.date | None) -> DataFrame:
     """Positions in every list.  Lists without a limit are small domains;
     limited ones keep their best rows per task before they meet."""
-    counts = written_once(_value_counts(star, domains))
+    counts = written_once(_value_counts(star, domains, start))
     limits = {d.name: d.top for d in domains if d.top}
     ordered = Window.partitionBy("dimension").orderBy("value")
     frequent = Window.partitionBy("dimension").orderBy(F.col("n").desc(), "value")
@@ -340,12 +341,17 @@ def frequent_drug_classes(star: Star, min_fills: int = 100, k: int = 30) -> Data
 
 def slicer_domains(star: Star) -> DataFrame:
     """The values each dashboard slicer offers (v1 + v2 lists), full
-    strings (Q2 fixed), one row per (dimension, position)."""
+    strings (Q2 fixed), one row per (dimension, position); all years of the
+    spine."""
+    return _slicers(star, star.raw.profile.spine_start)
+
+
+def _slicers(star: Star, start: dt.date | None) -> DataFrame:
     w = Window.orderBy(F.col("fill_count").desc(), "drug_class")  # 30 rows at most
     classes = frequent_drug_classes(star).select(
         F.lit("drug_classes").alias("dimension"), F.row_number().over(w).cast("long").alias("position"),
         F.col("drug_class").alias("value"))
-    return _lists(star, SLICERS, classes)
+    return _lists(star, SLICERS, classes, start)
 
 
 def search_domains(star: Star) -> DataFrame:
@@ -356,7 +362,7 @@ def search_domains(star: Star) -> DataFrame:
              .groupBy(F.col("drug_description").alias("value")).agg(F.count(F.lit(1)).alias("n")))
     every = positions(drugs, [F.col("n").desc(), F.col("value")]).withColumn(
         "dimension", F.lit("all_drugs"))
-    return _lists(star, SEARCHES, every)
+    return _lists(star, SEARCHES, every, star.raw.profile.first_day)
 
 
 PART = 1000  # values in a part of a document
@@ -374,7 +380,7 @@ def document_parts(domains: DataFrame) -> DataFrame:
 
 def filters_document(star: Star) -> DataFrame:
     """A10: the slicers' document in parts."""
-    return document_parts(slicer_domains(star))
+    return document_parts(_slicers(star, star.raw.profile.first_day))
 
 
 def search_document(star: Star) -> DataFrame:
