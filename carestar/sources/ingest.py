@@ -41,12 +41,11 @@ def typed_by_name(text: DataFrame, schema: StructType) -> DataFrame:
             continue
         typed = src.try_cast(f.dataType)
         cols.append(typed.alias(f.name))
-        failed.append(F.when(src.isNotNull() & (F.trim(src) != "") & typed.isNull(),
+        failed.append(F.when(typed.isNull() & src.isNotNull() & (F.trim(src) != ""),
                              F.lit(f.name)))
     if MALFORMED in present:
         failed.append(F.when(F.col(MALFORMED).isNotNull(), F.lit("<fields>")))
-    bad = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return text.select(*cols, F.when(F.size(bad) > 0, F.array_join(bad, ",")).alias(CORRUPT))
+    return text.select(*cols, F.nullif(F.concat_ws(",", *failed), F.lit("")).alias(CORRUPT))
 
 
 def read_claims_csv(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
