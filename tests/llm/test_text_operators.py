@@ -709,3 +709,43 @@ def test_bpe_word_borders_and_long_pieces_match_tiktoken(monkeypatch):
     letters = "".join(rnd.choice("abcdefgh") for _ in range(3_000))
     for text in (letters, "a" * 3_000, "ab" * 1_500, "é" * 1_000, " " * 1_000):
         assert codec.encode(text) == exact.encode_ordinary(text)
+
+
+def test_bpe_new_pieces_of_a_slice_read_side_by_side(spark, monkeypatch):
+    """Words met for the first time do not go through the transducer one by
+    one, and get the ids that tiktoken gives."""
+    import random
+
+    import public_tokenizers as P
+    import tiktoken
+
+    from carestar.llm import bpe
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abehinorstéñß日") for _ in range(rnd.randint(1, 14)))
+    texts = [" ".join(word() + rnd.choice(["", "", ",", ".\n" + word(), " "])
+                      for _ in range(60)) for _ in range(60)]
+    texts += ["".join(rnd.choice("abehinorst") for _ in range(bpe.ABREAST + k)) for k in (-1, 0, 1)]
+    texts += ["", " ", "日本" * 700 + " x", "q" * (bpe.ABREAST * 3)]
+    singly = []
+    one = bpe.Transducer.encode
+    monkeypatch.setattr(bpe.Transducer, "encode", lambda self, p: singly.append(p) or one(self, p))
+    codec = bpe.Codec()
+    exact = tiktoken.Encoding("whole", pat_str=P.PATTERN, mergeable_ranks=codec.ranks,
+                              special_tokens={})
+    for limits in ({}, {"TOGETHER": 50, "MACHINE_BYTES": 20_000, "MEMO_BYTES": 5_000, "STRETCH": 300}):
+        for name, value in limits.items():
+            monkeypatch.setattr(bpe, name, value)
+        codec.forget()
+        singly.clear()
+        got = [[i for ids in runs for i in ids.tolist()] for runs in codec.runs_of(texts)]
+        assert got == [exact.encode_ordinary(t) for t in texts]
+        if not limits:
+            assert len(singly) < 100       # of some 4,000 pieces
+    monkeypatch.undo()
+    d = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string").coalesce(1)
+    for r in bpe.encode_documents(d).collect():
+        text = "" if r["doc_id"] == len(texts) else texts[r["doc_id"]]
+        ids = exact.encode_ordinary(text)
+        assert r["ids"] == ids and r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
