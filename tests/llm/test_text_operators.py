@@ -171,6 +171,39 @@ def test_lm_learns_the_preceding_word(spark):
     assert results[0][0] == pytest.approx(the_cat)  # trained or held out: one probability
 
 
+def test_lm_keeps_only_what_the_held_out_texts_ask_for(spark):
+    """op3_lm_score of round 3: disk.  Scores are those with every bigram kept."""
+    import os
+    from carestar.llm import pitman_yor as lm
+    from carestar.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    train = ["a b c a b", "a b d", "rare one here", "b b c", "other rare words", ""]
+    held = ["a b rare one", "unseen c a", "here b", ""]
+    docs = spark.createDataFrame([(i, t, i >= len(train)) for i, t in enumerate(train + held)],
+                                 "doc_id long, text string, held_out boolean")
+    learned, asked = docs.where("not held_out"), docs.where("held_out")
+    before = set(os.listdir(folder))
+    model, whole = lm.learn(learned, asked), lm.learn(learned)
+    left = {name for new in set(os.listdir(folder)) - before if new.startswith("lm-")
+            for name in os.listdir(os.path.join(folder, new))}
+    assert left == {str(lm.PASSES), f"seats{lm.PASSES}", f"before{lm.PASSES}"}
+    w, _, doc = lm.token_stream(pa.array(train))
+    counts = Counter(lm.bigrams_of(w, doc)[0].tolist())
+    w, _, doc = lm.token_stream(pa.array(held))
+    wanted = set(lm.bigrams_of(w, doc)[0].tolist())
+    assert {r["h"]: r["n"] for r in rows(whole.pairs)} == counts
+    assert {r["h"]: r["n"] for r in rows(model.pairs)} == {
+        h: n for h, n in counts.items() if n > 1 or h in wanted}
+    results = []
+    for m, hot in ((whole, lm.HOT_WORDS), (model, lm.HOT_WORDS), (model, 0)):
+        was, lm.HOT_WORDS = lm.HOT_WORDS, hot
+        try:
+            results.append({r["doc_id"]: r["score"] for r in rows(lm.score(docs, m))})
+        finally:
+            lm.HOT_WORDS = was
+    assert results[0] == pytest.approx(results[1]) and results[0] == pytest.approx(results[2], abs=1e-4)
+
+
 def test_table_draws_follow_the_conditional():
     from carestar.llm.pitman_yor import _stirling, draw_tables
     c, d, weight, n = 5, 0.6, 1.7, 40_000
