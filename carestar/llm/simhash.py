@@ -170,7 +170,8 @@ def near_fingerprints(prints: DataFrame, queries: DataFrame, radius: int = RADIU
     ask = _tables(queries.select("f1", "f2").distinct()).withColumnsRenamed({"f1": "q1", "f2": "q2"})
     differ = F.bit_count(F.col("f1").bitwiseXOR(F.col("q1"))) + F.bit_count(
         F.col("f2").bitwiseXOR(F.col("q2")))
-    return (ask.join(all_, ["tab", "key"]).withColumn("distance", differ)
+    # Never broadcast: Spark sizes a side as before its explode, a 28th of its rows.
+    return (ask.hint("merge").join(all_, ["tab", "key"]).withColumn("distance", differ)
             .where((F.col("distance") > 0) & (F.col("distance") <= radius))
             .select("q1", "q2", "f1", "f2", "distance").distinct())
 
