@@ -199,10 +199,11 @@ def oracle() -> dict[str, str]:
 
 def _ingest_roundtrip(spark, sf_dir, s: Star) -> DataFrame:
     """L0 round trip: every raw table (claims, counted-only and the extra
-    one) written in its CSV layout, ingested back, and digested by content."""
+    one) written in its CSV layout (gzip: text is several times its input's
+    size), ingested back, and digested by content."""
     from carestar.sources.ingest import export_raw_csv, ingest_raw, read_ingested
     csv_dir, out_dir = _fresh(spark, sf_dir, "csv"), _fresh(spark, sf_dir, "ingested")
-    export_raw_csv(s.raw, csv_dir)
+    export_raw_csv(s.raw, csv_dir, compression="gzip")
     extra = {n: f"{csv_dir}/{n}.csv" for n in s.raw.counted if n not in schemas.COUNTED_ONLY}
     ingest_raw(spark, csv_dir, out_dir, extra=extra)
     return _digests({n: read_ingested(spark, out_dir, n) for n in s.raw.named()})

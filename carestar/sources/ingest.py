@@ -20,6 +20,9 @@ from carestar.sources.concurrent import run_concurrently
 from carestar.sources.csvscan import infer_types, read_csv, text_schema, typed
 from carestar.sources.tables import RAW_NAMES, RawTables
 
+# Rows of a compressed CSV file, which one task has to read, at most.
+FILE_ROWS = 250_000
+
 CORRUPT = "_corrupt_record"
 MALFORMED = "_malformed"
 
@@ -85,7 +88,8 @@ def ingest_raw(spark: SparkSession, csv_dir: str, out_dir: str,
     def one(t):
         name, path, schema = t
         target = posixpath.join(out_dir, name)
-        read_claims_csv(spark, path, schema).write.mode("overwrite").parquet(target)
+        (read_claims_csv(spark, path, schema).write.mode("overwrite")
+         .option("compression", "zstd").parquet(target))
         return spark.read.parquet(target)
 
     done = run_concurrently(one, present)
@@ -134,16 +138,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def export_raw_csv(raw: RawTables, csv_dir: str) -> None:
+def export_raw_csv(raw: RawTables, csv_dir: str, compression: str = "none") -> None:
     """Write raw tables in the claims CSV layout (schema columns, missing
     ones empty; counted tables as they are): the inverse of ``ingest_raw``,
-    used for round trips."""
+    used for round trips.  A compressed file is not split by its readers, so
+    it holds FILE_ROWS rows at most."""
     def one(name):
         df = raw.get(name)
         if name in schemas.CLAIMS:
             df = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
                              .cast(f.dataType).alias(f.name) for f in schemas.CLAIMS[name].fields])
         (df.write.mode("overwrite").option("header", True).option("escape", '"')
+         .option("compression", compression)
+         .option("maxRecordsPerFile", 0 if compression == "none" else FILE_ROWS)
          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
          .option("dateFormat", "yyyy-MM-dd").csv(posixpath.join(csv_dir, f"{name}.csv")))
 

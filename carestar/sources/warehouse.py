@@ -20,7 +20,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.session import apply_job_conf, ensure_checkpoint_dir
+from carestar.session import apply_job_conf, ensure_checkpoint_dir, tidy
 from carestar.sources.concurrent import run_concurrently
 from carestar.sources import testdata
 from carestar.sources.tables import RAW_NAMES, RawTables, Star
@@ -103,7 +103,8 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Star:
     and return the star over them."""
     from carestar.plans.star import build_star
 
-    return write_star(build_star(write_raw(testdata.load(spark, sf_dir), root)), root)
+    with tidy(spark):
+        return write_star(build_star(write_raw(testdata.load(spark, sf_dir), root)), root)
 
 
 # Builds completed by this process: (input, mark, checkpoint folder) -> root.
